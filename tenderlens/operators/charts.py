@@ -72,9 +72,8 @@ def histogram(
     a = axis.select(F.struct("*")).scalar()
 
     place = F.floor((F.col("x") - a["low"]) * a["bins"] / (a["high"] - a["low"]))
-    counted = (
-        values.groupBy(F.least(place, a["bins"] - 1).alias("bin")).agg(F.count("*").alias("n"))
-    )
+    placed = values.select(F.least(place, a["bins"] - 1).alias("bin"))
+    counted = placed.groupBy("bin").agg(F.count("*").alias("n"))
     width = (F.col("high") - F.col("low")) / F.col("bins")
     edges = axis.select(
         "low", width.alias("width"),
@@ -134,7 +133,8 @@ def density_curve(
         values.select("x", first.cast("int").alias("first"), last.cast("int").alias("last"))
         .where("first <= last")
         .select("x", F.explode(F.sequence("first", "last")).alias("punto"))
-        .groupBy("punto").agg(F.sum(F.exp(-0.5 * distance * distance)).alias("kernels"))
+        .select("punto", F.exp(-0.5 * distance * distance).alias("kernel"))
+        .groupBy("punto").agg(F.sum("kernel").alias("kernels"))
     )
     scale = F.col("n") * F.col("bandwidth") * math.sqrt(2 * math.pi)
     return (

@@ -257,6 +257,7 @@ class Evaluation:
     model: PipelineModel
     predictions: DataFrame
     metrics: DataFrame
+    n_train: int
 
 
 def train_and_evaluate(
@@ -273,7 +274,7 @@ def train_and_evaluate(
     metrics = regression_metrics(predictions).select(
         "*", F.lit(n_train).cast("bigint").alias("n_train")
     )
-    return Evaluation(model, predictions, metrics)
+    return Evaluation(model, predictions, metrics, n_train)
 
 
 def save_model(model: PipelineModel, path: str) -> str:

@@ -6,9 +6,11 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tenderlens import schema as S
 from tenderlens.operators import charts, regression
+from tenderlens.sources import shared_folder
 
 
 @dataclass
@@ -41,23 +43,31 @@ def run_stage3(
     clean: DataFrame, model_path: str, test_size: float = 0.2, seed: int = 42,
     alpha: float = 1.0, model_type: str = "ridge", id_column: str = S.ID,
 ) -> Stage3Result:
-    """Fit on the training part of ``clean``, store the model, evaluate on the test part."""
+    """Fit on the training part of ``clean``, store the model, evaluate on the test part.
+
+    The test part is scored once, into the shared folder; every chart reads that table.
+    """
+    spark = clean.sparkSession
     prepared = regression.prepare_features(clean, keep=[id_column])
     train, test = regression.hash_split(prepared, id_column, test_size, seed)
     result = regression.train_and_evaluate(train, test, model_type, alpha)
     stored = regression.save_model(result.model, model_path)
-    coefficients = regression.coefficient_table(clean.sparkSession, result.model)
+    coefficients = regression.coefficient_table(spark, result.model)
+    scored_path = f"{shared_folder(spark)}/predictions"
+    result.predictions.write.parquet(scored_path)
+    predictions = spark.read.parquet(scored_path)
+    trained = F.lit(result.n_train).cast("bigint").alias("n_train")
     return Stage3Result(
         model=result.model,
         model_path=stored,
-        predictions=result.predictions,
-        metrics=result.metrics,
+        predictions=predictions,
+        metrics=regression.regression_metrics(predictions).select("*", trained),
         coefficients=coefficients,
         charts={
-            "prediction_points": charts.prediction_points(result.predictions),
-            "prediction_axis": charts.prediction_axis(result.predictions),
+            "prediction_points": charts.prediction_points(predictions),
+            "prediction_axis": charts.prediction_axis(predictions),
             "coefficient_bars": charts.coefficient_bars(coefficients),
-            "risk_alerts_by_error": charts.risk_alerts_by_error(result.predictions),
-            **executive_summary(clean, result.predictions),
+            "risk_alerts_by_error": charts.risk_alerts_by_error(predictions),
+            **executive_summary(clean, predictions),
         },
     )
