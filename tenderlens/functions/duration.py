@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tenderlens.functions.text import fold_ascii, strip_text
+from tenderlens.functions.text import fold_ascii, once, strip_text
 
 # Days per unit, tested as substrings of the folded unit in this order.
 UNIT_DAYS = [("mes", 30.0), ("ano", 365.0), ("dia", 1.0)]
@@ -16,8 +16,10 @@ def duration_days(magnitude: Column, unit: Column) -> Column:
 
     Unknown and missing units keep the magnitude.
     """
-    folded = fold_ascii(F.lower(strip_text(unit)))
-    factor = F.lit(1.0)
-    for word, days in reversed(UNIT_DAYS):
-        factor = F.when(folded.contains(word), F.lit(days)).otherwise(factor)
-    return magnitude * factor
+    def factor(folded: Column) -> Column:
+        days = F.lit(1.0)
+        for word, length in reversed(UNIT_DAYS):
+            days = F.when(folded.contains(word), F.lit(length)).otherwise(days)
+        return days
+
+    return magnitude * once(fold_ascii(F.lower(strip_text(unit))), factor)

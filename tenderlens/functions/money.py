@@ -9,6 +9,10 @@ from tenderlens.functions.numeric import parse_number
 from tenderlens.functions.text import strip_text
 
 
+# The comma is the decimal mark: behind the last point, or alone with two characters behind it.
+_DECIMAL_COMMA = r"(?s)^(.*\..*,[^.]*|[^.]*,[^.,]{2})$"
+
+
 def parse_currency(text: Column) -> Column:
     """Money text to double; NULL where no number remains.
 
@@ -16,14 +20,8 @@ def parse_currency(text: Column) -> Column:
     Commas alone are decimal marks when exactly two characters follow the last
     one, and thousands marks otherwise.  Points alone are decimal marks.
     """
-    bare = F.regexp_replace(strip_text(text), r"[$ \xA0]", "")
-    backwards = F.reverse(bare)
-    comma = F.instr(backwards, ",")
-    point = F.instr(backwards, ".")
-    comma_is_decimal = F.when(point > 0, comma < point).otherwise(comma == 3)
-    plain = (
-        F.when(comma == 0, bare)
-        .when(comma_is_decimal, F.translate(bare, ",.", "."))
-        .otherwise(F.translate(bare, ",", ""))
+    bare = F.translate(strip_text(text), "$ \xa0", "")
+    plain = F.when(bare.rlike(_DECIMAL_COMMA), F.translate(bare, ",.", ".")).otherwise(
+        F.translate(bare, ",", "")
     )
     return parse_number(plain)

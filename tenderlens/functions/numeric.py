@@ -6,10 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tenderlens.functions.text import strip_text
-
-_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-_INFINITE = r"(?i)^[+-]?inf(inity)?$"
+# Every digit string is bounded such that the value stays below 1e300.
+_BOUNDED = (
+    r"0*[0-9]{1,200}\.?[0-9]*(?:e(?:-[0-9]+|\+?0*[0-9]{1,2}))?"
+    r"|0*[0-9]{1,9}\.?[0-9]*e\+?0*[12][0-9]{2}"
+    r"|\.[0-9]+(?:e(?:-[0-9]+|\+?0*[0-9]{1,2}|\+?0*[12][0-9]{2}))?"
+)
+_ANY_SIZE = r"(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?"
+_TEMPLATE = r"(?i)^[\s\x1c-\x1f]*([+-]?(?:{}|inf|infinity))[\s\x1c-\x1f]*$"
 
 
 def null_if_nan(value: Column) -> Column:
@@ -20,14 +24,13 @@ def null_if_nan(value: Column) -> Column:
 def parse_number(text: Column, keep_overflow: bool = False) -> Column:
     """Plain decimal text to double, anything else to NULL.
 
-    The pattern guards the cast, which would also take Java forms such as ``1f``.
-    A finite text beyond the double range gives NULL, or infinity on request.
+    The pattern guards the cast, which would also take Java forms such as ``1f``; what
+    does not match gives the empty string and so NULL.
+    Finite texts from about 1e300 on give NULL; ``keep_overflow`` admits them, as
+    infinity past the double range.
     """
-    stripped = strip_text(text)
-    parsed = stripped.try_cast("double")
-    finite = parsed if keep_overflow else F.when(F.abs(parsed) < float("inf"), parsed)
-    infinite = F.when(stripped.startswith("-"), float("-inf")).otherwise(float("inf"))
-    return F.when(stripped.rlike(_NUMBER), finite).when(stripped.rlike(_INFINITE), infinite)
+    pattern = _TEMPLATE.format(_ANY_SIZE if keep_overflow else _BOUNDED)
+    return F.regexp_extract(text, pattern, 1).try_cast("double")
 
 
 def number_column(df: DataFrame, name: str) -> Column:

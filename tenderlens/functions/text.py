@@ -4,21 +4,22 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# White space as a text strip understands it: the Unicode class plus the four
-# ASCII separators that the Unicode property leaves out.
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# White space of any kind, as a text strip understands it.
+_SPACE = "".join(chr(code) for code in range(sys.maxunicode + 1) if chr(code).isspace())
+
 _INNER_SPACE = r"[\s\x1c-\x1f]+"
 _NON_ASCII = r"[^\x00-\x7F]"
 
 
 def strip_text(text: Column) -> Column:
     """Remove white space of any kind from both ends (``trim`` only knows U+0020)."""
-    return F.regexp_replace(text, _EDGE_SPACE, "")
+    return F.trim(text, F.lit(_SPACE))
 
 
 @lru_cache(maxsize=1)
@@ -41,20 +42,29 @@ def _folds() -> tuple[str, str, dict[str, str]]:
     return "".join(source), "".join(target), wide
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` applied to ``value``, which is evaluated a single time however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def fold_ascii(text: Column) -> Column:
     """Drop accents and everything that has no ASCII form.
 
-    Nearly all texts are settled by ``translate``.  The map of multi-character
-    folds is consulted only for texts that still hold one of those characters.
+    ASCII texts pass as they are and nearly all others are settled by ``translate``.
+    The map of multi-character folds is consulted only for texts that still hold one
+    of those characters, which another ``translate`` finds out.
     """
     source, target, wide = _folds()
-    narrow = F.translate(text, source, target)
     folds = F.create_map(*[F.lit(part) for pair in wide.items() for part in pair])
-    expanded = F.concat_ws(
-        "", F.transform(F.split(narrow, ""), lambda c: F.coalesce(folds[c], c))
-    )
-    has_wide = narrow.rlike("[" + "".join(wide) + "]")
-    return F.regexp_replace(F.when(has_wide, expanded).otherwise(narrow), _NON_ASCII, "")
+
+    def expand(narrow: Column) -> Column:
+        letters = F.transform(F.split(narrow, ""), lambda c: F.coalesce(folds[c], c))
+        holds_wide = F.translate(narrow, "".join(wide), "") != narrow
+        full = F.when(holds_wide, F.concat_ws("", letters)).otherwise(narrow)
+        return F.when(narrow.rlike(_NON_ASCII), F.regexp_replace(full, _NON_ASCII, "")).otherwise(narrow)
+
+    folded = once(F.translate(text, source, target), expand)
+    return F.when(text.rlike(_NON_ASCII), folded).otherwise(text)
 
 
 def normalize_text(text: Column) -> Column:
