@@ -161,14 +161,16 @@ def _boxes(
     """Rows with the box of their group, and the boxes."""
     values = df.where(F.col(key).isNotNull()).select("*", number_column(df, value).alias("_x"))
     values = values.where(F.col("_x").isNotNull())
+    few = few_groups(values, [key])
     quartiles = exact_quantiles(
-        values, F.col("_x"), {"q1": 0.25, "mediana": 0.5, "q3": 0.75}, [key], method=method
+        values, F.col("_x"), {"q1": 0.25, "mediana": 0.5, "q3": 0.75}, [key], method=method,
+        groups_bounded=few,
     )
     spread = F.col("q3") - F.col("q1")
     boxes = quartiles.select(
         "*", (F.col("q1") - k * spread).alias("_low"), (F.col("q3") + k * spread).alias("_high")
     )
-    side = F.broadcast(boxes) if few_groups(values, [key]) else boxes
+    side = F.broadcast(boxes) if few else boxes
     return values.join(side, key), boxes
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tenderlens import schema as S
 from tenderlens.functions import number_column
-from tenderlens.operators.quantiles import exact_quantiles
+from tenderlens.operators.quantiles import exact_quantiles, is_present
 
 # Limits and wording of the skew classes.
 SKEW_LIMIT = 0.5
@@ -61,7 +61,7 @@ def skew_class(skewness: Column) -> Column:
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(variable, value, n)``: distinct values of every column with their frequency."""
     values = df.select(*[number_column(df, c).alias(c) for c in columns])
-    long = values.unpivot([], list(columns), "variable", "value").where(F.col("value").isNotNull())
+    long = values.unpivot([], list(columns), "variable", "value").where(is_present(F.col("value")))
     return long.groupBy("variable", "value").agg(F.count("*").alias("n"))
 
 

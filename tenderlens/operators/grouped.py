@@ -63,9 +63,10 @@ def competition_contrast(
         (F.avg("flag") * 100).alias("tasa_sobrecosto_pct"),
     )
     # Both medians come from one pass: the band and the measure are the group.
+    pairs = F.stack(F.lit(2), F.lit("value"), F.col("value"), F.lit("days"), F.col("days"))
     medians = (
         exact_quantiles(
-            rows.unpivot(["banda_orden"], ["value", "days"], "measure", "amount"),
+            rows.select("banda_orden", pairs.alias("measure", "amount")),
             F.col("amount"), {"median": 0.5}, ["banda_orden", "measure"],
             method=method, groups_bounded=True,
         )

@@ -53,6 +53,11 @@ def few_groups(df: DataFrame, keys: Sequence[str]) -> bool:
     return groups <= MAX_BROADCAST_GROUPS
 
 
+def is_present(value: Column) -> Column:
+    """Neither NULL nor NaN."""
+    return value.isNotNull() & ~F.isnan(value)
+
+
 def _bucket(value: Column, per_octave: int) -> Column:
     """Number of the bucket of ``value``; never decreases as the value grows."""
     exponent = F.least(F.log2(F.abs(value)), F.lit(float(_OFFSET)))
@@ -112,12 +117,16 @@ def _narrowed(values: DataFrame, keys: list[str], points: Sequence[float], small
     ).where(F.size(_WANTED) > 0)
 
     on = [*keys, _BUCKET]
-    candidates = (
-        values.withColumn(_BUCKET, _bucket(F.col(_VALUE), _COARSE))
-        .join(hint(coarse.select(*on)), on, "left_semi")
-        .groupBy(*on, _VALUE).agg(F.sum(_COUNT).alias(_COUNT))
-        .withColumn(_FINE_BUCKET, _bucket(F.col(_VALUE), _FINE))
-    )
+    bucketed = values.withColumn(_BUCKET, _bucket(F.col(_VALUE), _COARSE))
+    wanted = hint(coarse.select(*on))
+
+    def counted(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*on, _VALUE).agg(F.sum(_COUNT).alias(_COUNT))
+
+    # Too many groups to broadcast: count first, so that a frequent value is one row
+    # before the join moves a bucket into one task.
+    candidates = counted(bucketed.join(wanted, on)) if small else counted(bucketed).join(wanted, on)
+    candidates = candidates.withColumn(_FINE_BUCKET, _bucket(F.col(_VALUE), _FINE))
     fine = (
         candidates.groupBy(*on, _FINE_BUCKET).agg(F.sum(_COUNT).alias(_COUNT))
         .withColumn("_before", _rows_before(on, _FINE_BUCKET))
@@ -162,7 +171,9 @@ def exact_quantiles(
         value.cast("double").alias(_VALUE),
         (F.lit(1) if weight is None else weight).cast("bigint").alias(_COUNT),
     )
-    values = values.dropna(subset=[*keys, _VALUE])
+    for key in keys:
+        values = values.where(F.col(key).isNotNull())
+    values = values.where(is_present(F.col(_VALUE)))
     names, probabilities = list(points), list(points.values())
 
     if method == "auto":

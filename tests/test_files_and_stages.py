@@ -133,7 +133,7 @@ def test_stage2(stage1):
     exact, narrow = run_stage2(stage1.clean, "aggregate"), run_stage2(stage1.clean, "narrow")
     for name, table in exact.items():
         one, two = sorted(map(text, rows(table))), sorted(map(text, rows(narrow[name])))
-        assert one and one == two, name
+        assert one == two and (one or name.startswith("top")), name
     assert central_report(exact["central"]).first()["media"].startswith("$")
     assert dispersion_report(exact["dispersion"]).where(
         F.col("variable") == S.DURATION_DAYS).first()["iqr"].endswith("días")
@@ -149,3 +149,19 @@ def test_stage3(spark, stage1, tmp_path):
         assert table.count() > 0
     again = regression.load_model(result.model_path)
     assert again.stages[-1].coefficients == result.model.stages[-1].coefficients
+
+
+def test_command_line(spark, raw, tmp_path, capsys):
+    from tenderlens.__main__ import main
+
+    raw.write.json(str(tmp_path / "json"))
+    at = lambda name: str(tmp_path / name)
+    main(["extract", "--input", at("json"), "--output", at("raw"), "--limit", "200"])
+    main(["stage1", "--input", at("raw"), "--output", at("clean")])
+    main(["stage2", "--input", at("clean"), "--output", at("stage2")])
+    main(["stage3", "--input", at("clean"), "--model", at("model"), "--output", at("stage3")])
+    printed = capsys.readouterr().out
+    assert "Licitación Pública" in printed and "Precio Base [log1p]" in printed
+    assert spark.read.parquet(at("stage2/boxes")).count() == 3
+    main(["extract", "--input", at("json"), "--output", at("none"), "--region", "Marte"])
+    assert "No se encontraron registros" in capsys.readouterr().out

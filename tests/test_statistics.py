@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tenderlens import schema as S
-from tenderlens.operators import describe, grouped, outliers, quality
+from tenderlens.operators import describe, grouped, outliers, quality, quantiles
 from tenderlens.operators.quantiles import exact_quantiles
 
 from conftest import rows
@@ -97,6 +97,37 @@ def test_large_groups_share_two_scans(spark, tmp_path):
         np.testing.assert_allclose(got[key], part["v"].quantile([0.25, 0.75]), rtol=1e-15)
 
 
+def test_many_groups_are_joined_without_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "MAX_BROADCAST_GROUPS", 10)
+    rng = np.random.default_rng(9)
+    pdf = pd.DataFrame({
+        "k": np.where(rng.random(20_000) < 0.4, 0, rng.integers(1, 500, 20_000)),
+        "v": np.where(rng.random(20_000) < 0.3, 1.0, rng.lognormal(3, 2, 20_000)),
+    })
+    table = spark.createDataFrame(pdf).repartition(5)
+    assert not quantiles.few_groups(table, ["k"])
+    got = exact_quantiles(table, F.col("v"), {"q1": 0.25, "q3": 0.75}, ["k"], method="narrow")
+    assert "Broadcast" not in got._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["k"]: (r["q1"], r["q3"]) for r in got.collect()}
+    expected = pdf.groupby("k")["v"].quantile([0.25, 0.75]).unstack()
+    assert set(got) == set(expected.index)
+    for key, row in expected.iterrows():
+        np.testing.assert_allclose(got[key], row, rtol=1e-15)
+
+
+def test_small_inputs_take_the_one_pass_plan(spark, tmp_path, monkeypatch):
+    spark.range(1000).select(F.rand(1).alias("v")).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+
+    def plan():
+        found = exact_quantiles(table, F.col("v"), {"m": 0.5})
+        return found._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "percentile" in plan()
+    monkeypatch.setattr(quantiles, "SMALL_INPUT_BYTES", 100)
+    assert "percentile" not in plan()
+
+
 def test_unknown_quantile_method(df):
     with pytest.raises(ValueError, match="quantile method"):
         exact_quantiles(df, F.col(S.AWARD), POINTS, method="guess")
