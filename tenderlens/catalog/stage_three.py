@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,8 +82,6 @@ select id_del_portafolio, modalidad_de_contratacion,
 from prepared join kinds on modalidad_de_contratacion = k
 """))
 def one_hot_drop_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.ml.functions import vector_to_array
-
     encoded = R.one_hot_drop_first(_prepared(spark, sf_dir).select(S.ID, S.MODALITY))
     digits = F.transform(vector_to_array(f"{S.MODALITY}_vec"), lambda x: x.cast("int").cast("string"))
     return encoded.select(S.ID, S.MODALITY, F.array_join(digits, "").alias("codigo"))
@@ -148,12 +147,15 @@ from pred
 """
 
 
+METRICS_DIGITS = {
+    "r2_log": 6, "mae_log": 6, "rmse_log": 6, "r2_real": 6, "mae_real": 3,
+    "mae_millones_cop": 6, "mape_real": 6,
+}
+
+
 @_query(with_predictions(_METRICS_SQL))
 def regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(R.regression_metrics(_predictions(spark, sf_dir)), {
-        "r2_log": 6, "mae_log": 6, "rmse_log": 6, "r2_real": 6, "mae_real": 3,
-        "mae_millones_cop": 6, "mape_real": 6,
-    })
+    return rounded(R.regression_metrics(_predictions(spark, sf_dir)), METRICS_DIGITS)
 
 
 @_query(with_clean("""
@@ -259,27 +261,97 @@ def feature_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kinds.select(name.alias("variable"), feature_label(name).alias("etiqueta"))
 
 
+# The whole model in SQL: scaled numbers and 0/1 columns for all modalities but the
+# first, centred, and the penalised normal equations solved by elimination.
+_MODEL_SQL = _PREPARED_SQL + """
+, scales as (
+  select avg(precio_base_log) as m1, stddev_pop(precio_base_log) as s1,
+    avg(duracion_dias_prevista) as m2, stddev_pop(duracion_dias_prevista) as s2,
+    avg(proveedores_unicos_con) as m3, stddev_pop(proveedores_unicos_con) as s3,
+    avg(label) as my, list_sort(list(distinct modalidad_de_contratacion))[2:] as kinds
+  from prepared where not de_prueba),
+encoded as (
+  select id_del_portafolio, label, de_prueba, my, kinds, list_concat(
+    [(precio_base_log - m1) / s1, (duracion_dias_prevista - m2) / s2, (proveedores_unicos_con - m3) / s3],
+    list_transform(kinds, lambda k: cast(cast(k = modalidad_de_contratacion as int) as double))) as x
+  from prepared, scales),
+centre as (
+  select i, avg(x[i]) as m from encoded, (select unnest(range(1, len(kinds) + 4)) as i from scales)
+  where not de_prueba group by i),
+means as (select list(m order by i) as m from centre),
+moved as (
+  select label - my as y, list_transform(range(1, len(x) + 1), lambda i: x[i] - m[i]) as x
+  from encoded, means where not de_prueba),
+cells as (
+  select i, j, sum(x[i] * (case when j <= len(x) then x[j] else y end))
+    + (case when i = j then 1.0e0 else 0.0e0 end) as v
+  from moved, (select unnest(range(1, len(m) + 1)) as i from means),
+    (select unnest(range(1, len(m) + 2)) as j from means)
+  group by i, j),
+equations as (
+  select list(line order by i) as a from (select i, list(v order by j) as line from cells group by i)),
+solved as (
+  with recursive elimination as (
+    select 1 as k, a from equations
+    union all
+    select k + 1, list_transform(range(1, len(a) + 1), lambda i: list_transform(range(1, len(a) + 2),
+      lambda j: case when i = k then a[k][j] / a[k][k] else a[i][j] - a[i][k] * a[k][j] / a[k][k] end))
+    from elimination where k <= len(a))
+  select list_transform(a, lambda line: line[len(a) + 1]) as w from elimination where k = len(a) + 1),
+coefficients as (
+  select unnest(list_concat(
+      ['num__precio_base_log', 'num__duracion_dias_prevista', 'num__proveedores_unicos_con'],
+      list_transform(kinds, lambda k: 'cat__modalidad_de_contratacion_' || k))) as variable,
+    unnest(list_concat(
+      ['Precio Base [log1p]', 'Duración Prevista (Días)', 'Concurrencia Oferentes (N°)'],
+      list_transform(kinds, lambda k: 'Modalidad: ' || k))) as variable_limpia,
+    unnest(w) as coeficiente
+  from solved, scales),
+logs as (
+  select id_del_portafolio, label,
+    my + list_sum(list_transform(range(1, len(x) + 1), lambda i: w[i] * (x[i] - m[i]))) as prediction
+  from encoded, means, solved where de_prueba),
+pred as (select *, exp(label) - 1 as real, exp(prediction) - 1 as predicho from logs)
+"""
+
+
 def _stage3(spark: SparkSession, sf_dir: str):
     return run_stage3(clean_table(spark, sf_dir), f"{shared_folder(spark)}/model")
 
 
-@_query(None)
+@_query(with_clean(_MODEL_SQL + _METRICS_SQL.replace(
+    "count(*) as n_test", "count(*) as n_test, (select count(*) from prepared where not de_prueba) as n_train"
+)))
 def stage3_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stage3(spark, sf_dir).metrics
+    return rounded(_stage3(spark, sf_dir).metrics, METRICS_DIGITS)
 
 
-@_query(None)
+@_query(with_clean(_MODEL_SQL + """
+select variable, variable_limpia, round(coeficiente, 7) + 0 as coeficiente,
+  case when coeficiente > 0 then 'Positivo (Incrementa Monto)' else 'Negativo (Disminuye Monto)' end as direccion,
+  round(abs(coeficiente), 7) as magnitud
+from coefficients
+"""))
 def coefficient_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stage3(spark, sf_dir).coefficients
+    return rounded(_stage3(spark, sf_dir).coefficients, {"coeficiente": 7, "magnitud": 7})
 
 
-@_query(None)
+@_query(with_clean(_MODEL_SQL + """
+select variable_limpia, round(coeficiente, 7) + 0 as coeficiente,
+  case when coeficiente < 0 then 'negativo' else 'positivo' end as signo
+from coefficients
+"""))
 def coefficient_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stage3(spark, sf_dir).charts["coefficient_bars"]
+    return rounded(_stage3(spark, sf_dir).charts["coefficient_bars"], {"coeficiente": 7})
 
 
-@_query(None)
+@_query(with_clean(_MODEL_SQL + """
+select id_del_portafolio, round(prediction, 6) as prediction,
+  round(label - prediction, 6) + 0 as residuo_log, round(real - predicho, 2) + 0 as residuo_real from pred
+"""))
 def saved_model_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = _stage3(spark, sf_dir).model_path
     _, test = R.hash_split(_prepared(spark, sf_dir))
-    return R.predict(R.load_model(stored), test).select(S.ID, "prediction", "residuo_log", "residuo_real")
+    scored = R.predict(R.load_model(stored), test)
+    columns = [S.ID, "prediction", "residuo_log", "residuo_real"]
+    return rounded(scored.select(*columns), {"prediction": 6, "residuo_log": 6, "residuo_real": 2})

@@ -110,10 +110,13 @@ def clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     The first call of a session computes and writes it, as stage 1 does.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _stored:
-        path = f"{shared_folder(spark)}/clean"
-        write_clean(clean_view(spark, sf_dir), path)
-        _stored[key] = path
+    if key in _stored:
+        try:
+            return read_clean(spark, _stored[key])
+        except FileNotFoundError:  # the shared folder was emptied meanwhile
+            pass
+    _stored[key] = f"{shared_folder(spark)}/clean"
+    write_clean(clean_view(spark, sf_dir), _stored[key])
     return read_clean(spark, _stored[key])
 
 

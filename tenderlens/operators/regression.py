@@ -122,15 +122,16 @@ def build_preprocessor(
     train: DataFrame,
     numeric: Sequence[str] = tuple(NUMERIC_FEATURES),
     categorical: Sequence[str] = tuple(CATEGORICAL_FEATURES),
+    n: int | None = None,
 ) -> PipelineModel:
-    """Fitted scaling and encoding, ending in a ``features`` vector."""
+    """Fitted scaling and encoding, ending in a ``features`` vector.  ``n`` rows, if known."""
     numbers = VectorAssembler(inputCols=list(numeric), outputCol="num_raw", handleInvalid="error")
     assembled = numbers.transform(train)
     scaler = StandardScaler(
         inputCol="num_raw", outputCol="num_sample", withMean=True, withStd=True
     ).fit(assembled)
     # The scaler divides by the sample deviation; the model wants the population one.
-    n = train.count()
+    n = train.count() if n is None else n
     to_population = ElementwiseProduct(
         inputCol="num_sample", outputCol="num_vec",
         scalingVec=Vectors.dense([math.sqrt(n / (n - 1)) if n > 1 else 1.0] * len(numeric)),
@@ -177,7 +178,7 @@ def fit_model(
     if facts["incomplete"]:
         raise ValueError(f"{facts['incomplete']} training rows have a missing feature or label")
 
-    preprocessor = build_preprocessor(train, numeric, categorical)
+    preprocessor = build_preprocessor(train, numeric, categorical, facts["n"])
     width = len(feature_names(preprocessor))
     normal = width <= _NORMAL_SOLVER_FEATURES
     # The estimator minimises the mean error on a label scaled by its deviation, hence
