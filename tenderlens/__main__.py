@@ -31,7 +31,7 @@ def _extract(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _stage1(spark: SparkSession, args: argparse.Namespace) -> None:
-    result = run_stage1(spark, args.input, args.output, args.format)
+    result = run_stage1(spark, args.input, args.output, args.format, not args.single_line)
     _show("Balance de registros", result.report)
     _show("Sobrecosto", result.overcost)
     _show("Resumen estadístico", result.description)
@@ -77,6 +77,8 @@ def main(arguments: list[str] | None = None) -> None:
     extract.set_defaults(run=_extract)
 
     stage1 = commands.add_parser("stage1", help="raw CSV to clean table")
+    stage1.add_argument("--single-line", action="store_true",
+                        help="no field holds a line break, so large files can be split")
     stage1.set_defaults(run=_stage1)
 
     stage2 = commands.add_parser("stage2", help="statistics of the clean table")

@@ -436,6 +436,36 @@ def modality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage2.modality_report(grouped.dispersion_by_group(clean_table(spark, sf_dir)))
 
 
+def _spread_report_sql(c: str) -> str:
+    quartiles = [f"quantile_cont({c}, 0.25)", f"quantile_cont({c}, 0.75)"]
+    shown = {
+        "desviacion_estandar": f"stddev_samp({c})", "q1": quartiles[0], "q3": quartiles[1],
+        "iqr": f"{quartiles[1]} - {quartiles[0]}", "rango": f"max({c}) - min({c})",
+    }
+    texts = ", ".join(f"{_amount_text_sql(value, c)} as {name}" for name, value in shown.items())
+    return f"""
+select '{c}' as variable, {texts},
+  format('{{:,.2f}}%', stddev_samp({c}) / abs(avg({c})) * 100) as coeficiente_variacion_pct from clean
+"""
+
+
+@_query(with_clean(" union all ".join(_spread_report_sql(c) for c in S.STATISTICS_COLUMNS)))
+def dispersion_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage2.dispersion_report(describe.dispersion(clean_table(spark, sf_dir)))
+
+
+@_query(with_clean(f"""
+select ({_LABELS_SQL})[{_BAND_SQL}] as rango_competencia, count(id_del_portafolio) as total_contratos,
+  format('{{:.2f}}%', count(id_del_portafolio) / (select count(*) from clean) * 100) as porcentaje_del_total,
+  format('${{:,.2f}}', median(valor_total_adjudicacion)) as mediana_valor_adjudicado,
+  format('{{:.2f}}%', avg(tiene_sobrecosto) * 100) as tasa_sobrecosto_pct,
+  median(duracion_dias_prevista) as mediana_duracion_dias
+from clean group by all
+"""))
+def competition_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage2.competition_report(grouped.competition_contrast(clean_table(spark, sf_dir)))
+
+
 _STAGE2_SQL = f"""
 select 'central' as tabla, count(*) as filas from (select unnest(range(4)))
 union all select 'dispersion', 4

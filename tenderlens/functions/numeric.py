@@ -38,8 +38,18 @@ def number_column(df: DataFrame, name: str) -> Column:
     kind = df.schema[name].dataType
     if isinstance(kind, T.StringType):
         return parse_number(F.col(name))
-    if isinstance(kind, T.NumericType):
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
         return null_if_nan(F.col(name).cast("double"))
-    if isinstance(kind, T.BooleanType):
+    if isinstance(kind, (T.NumericType, T.BooleanType)):
         return F.col(name).cast("double")
     raise ValueError(f"Column '{name}' of type {kind.simpleString()} is not numeric")
+
+
+def exceeds(df: DataFrame, name: str, bound: Column | float) -> Column:
+    """True where column ``name`` is a number above ``bound``.
+
+    Stored numbers are compared as they are, so that the filter reaches the scan.
+    """
+    if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
+        return (F.col(name) > bound) & ~F.isnan(name)
+    return number_column(df, name) > bound

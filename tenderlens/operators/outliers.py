@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenderlens import schema as S
-from tenderlens.functions import number_column
+from tenderlens.functions import exceeds, number_column
 from tenderlens.operators.quantiles import exact_quantiles
 
 # Default columns of the outlier table.
@@ -90,6 +90,6 @@ def top_outliers(
     ties = [c for c in tie_break if c in df.columns]
     amount = number_column(df, value)
     return (
-        df.where(amount > fence["limite_superior"])
+        df.where(exceeds(df, value, fence["limite_superior"]))
         .orderBy(amount.desc(), *ties).limit(top_n).select(*shown)
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenderlens import schema as S
-from tenderlens.functions import number_column
+from tenderlens.functions import exceeds
 
 # Defaults of the extract.
 REGION, CONTRACT_TYPE, LIMIT = "Cundinamarca", "Obra", 10_000
@@ -31,7 +31,7 @@ def extract_contracts(
     wanted = (
         (F.col(S.REGION) == region)
         & (F.col(S.CONTRACT_TYPE) == contract_type)
-        & (number_column(df, S.AWARD) > 0)
+        & exceeds(df, S.AWARD, 0)
     )
     newest = [F.col(S.PUBLISHED).desc_nulls_last(), *[F.col(c) for c in tie_break]]
     return df.where(wanted).orderBy(*newest).limit(limit).select(*columns)

@@ -158,6 +158,8 @@ def test_command_line(spark, raw, tmp_path, capsys):
     at = lambda name: str(tmp_path / name)
     main(["extract", "--input", at("json"), "--output", at("raw"), "--limit", "200"])
     main(["stage1", "--input", at("raw"), "--output", at("clean")])
+    with pytest.raises(SystemExit):
+        main(["stage1", "--input", at("raw")])
     main(["stage2", "--input", at("clean"), "--output", at("stage2")])
     main(["stage3", "--input", at("clean"), "--model", at("model"), "--output", at("stage3")])
     printed = capsys.readouterr().out
