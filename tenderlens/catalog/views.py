@@ -30,7 +30,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _competition(lines: DataFrame) -> DataFrame:
     bidders = F.count_distinct("l_suppkey").cast("double")
-    return lines.groupBy(F.col("l_orderkey").alias("ck")).agg(bidders.alias("bidders"))
+    return lines.groupBy(F.col("l_orderkey").alias("key")).agg(bidders.alias("bidders"))
+
+
+def _order_facts(spark: SparkSession, sf_dir: str, columns: set[str]) -> DataFrame | None:
+    """What the lines look up by order, in one table with one row per order.
+
+    One join instead of two lets the planner split a very large order without another shuffle.
+    """
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), "o_orderpriority")
+    competition = _competition(table(spark, sf_dir, "lineitem"))
+    if not columns & _FROM_COMPETITION:
+        return orders if columns & _FROM_ORDERS else None
+    # Every order of a line has a row in ``competition``.
+    return competition.join(orders, "key", "left") if columns & _FROM_ORDERS else competition
 
 
 def raw_contracts(
@@ -43,11 +56,9 @@ def raw_contracts(
     """
     lines = table(spark, sf_dir, "lineitem")
     rows = lines
-    if _FROM_ORDERS & set(columns):
-        orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-        rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    if _FROM_COMPETITION & set(columns):
-        rows = rows.join(_competition(lines), F.col("l_orderkey") == F.col("ck"), "left")
+    by_order = _order_facts(spark, sf_dir, set(columns))
+    if by_order is not None:
+        rows = rows.join(by_order, F.col("l_orderkey") == F.col("key"), "left")
     if _FROM_SUPPLIERS & set(columns):
         suppliers = table(spark, sf_dir, "supplier").join(
             table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"), "left"

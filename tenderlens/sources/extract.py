@@ -4,17 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tenderlens import schema as S
-from tenderlens.functions import exceeds
+from tenderlens.functions import exceeds, parse_iso_date
+from tenderlens.operators.quantiles import is_small
 
 # Defaults of the extract.
 REGION, CONTRACT_TYPE, LIMIT = "Cundinamarca", "Obra", 10_000
 PREVIEW_COLUMNS = [S.ENTITY, S.PRICE, S.AWARD, S.MODALITY]
 
 
+def _moment(df: DataFrame, name: str) -> Column:
+    """Publication time; texts are parsed, and what is no date counts as missing."""
+    if isinstance(df.schema[name].dataType, T.StringType):
+        return parse_iso_date(F.col(name))
+    return F.col(name)
+
+
+def _recent(rows: DataFrame, day: Column, limit: int) -> DataFrame:
+    """Rows from the day on which the newest ``limit`` rows are complete.
+
+    A top-k gathers ``limit`` rows of every task in one place.  Counting rows per day
+    first, a table of at most one row per calendar day, leaves it hardly more than
+    ``limit`` rows in all.  With fewer dated rows than ``limit`` everything stays.
+    """
+    days = rows.groupBy(day.alias("day")).agg(F.count("*").alias("n")).where("day is not null")
+    newest_first = Window.partitionBy(F.lit(1)).orderBy(F.desc("day"))
+    complete = days.withColumn("newer", F.sum("n").over(newest_first)).where(F.col("newer") >= limit)
+    cutoff = complete.agg(F.max("day")).scalar()
+    return rows.where(F.coalesce(cutoff.isNull() | (day >= cutoff), F.lit(False)))
+
+
 def extract_contracts(
     df: DataFrame,
     region: str = REGION,
@@ -22,19 +45,26 @@ def extract_contracts(
     limit: int = LIMIT,
     columns: Sequence[str] = tuple(S.RAW_COLUMNS),
     tie_break: Sequence[str] = (S.ID,),
+    method: str = "auto",
 ) -> DataFrame:
     """The newest ``limit`` contracts of a region and type with a positive award.
 
     Equality is exact.  Filters and columns reach the scan, and the limit is a top-k
-    per task, so nothing is sorted as a whole.
+    per task, so nothing is sorted as a whole.  ``method``: ``direct``, ``cutoff``
+    (drop days that cannot matter first) or ``auto``, by the size of the table.
     """
-    wanted = (
+    if method not in {"auto", "direct", "cutoff"}:
+        raise ValueError(f"Unknown extract method: '{method}'")
+    rows = df.where(
         (F.col(S.REGION) == region)
         & (F.col(S.CONTRACT_TYPE) == contract_type)
         & exceeds(df, S.AWARD, 0)
     )
-    newest = [F.col(S.PUBLISHED).desc_nulls_last(), *[F.col(c) for c in tie_break]]
-    return df.where(wanted).orderBy(*newest).limit(limit).select(*columns)
+    moment = _moment(df, S.PUBLISHED)
+    if method == "cutoff" or (method == "auto" and not is_small(df)):
+        rows = _recent(rows, F.to_date(moment), limit)
+    newest = [moment.desc_nulls_last(), *[F.col(c) for c in tie_break]]
+    return rows.orderBy(*newest).limit(limit).select(*columns)
 
 
 def preview(df: DataFrame, rows: int = 3) -> DataFrame:

@@ -85,17 +85,29 @@ def test_missing_inputs(spark, tmp_path):
         run_stage1(spark, gone, str(tmp_path / "out"))
 
 
-def test_extract(raw):
-    got = sources.extract_contracts(raw, limit=20).collect()
+@pytest.mark.parametrize("method", ["direct", "cutoff"])
+def test_extract(raw, method):
+    got = sources.extract_contracts(raw, limit=20, method=method).collect()
     assert len(got) == 20 and list(got[0].asDict()) == S.RAW_COLUMNS
     assert {r[S.REGION] for r in got} == {"Cundinamarca"}
     dates = [r[S.PUBLISHED] for r in got]
     assert dates == sorted(dates, reverse=True)
-    plan = sources.extract_contracts(raw)._jdf.queryExecution().executedPlan().toString()
+    assert dates[0] == max(r[13] for r in raw_records() if r[3] == "Cundinamarca")
+    plan = sources.extract_contracts(raw, method=method)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
     assert sources.preview(raw).count() == 3
 
 
+def test_extract_methods_agree(raw):
+    undated = raw.withColumn(S.PUBLISHED, F.when(F.substring(S.ID, -1, 1) != "3", F.col(S.PUBLISHED)))
+    for limit in (1, 7, 100, 215, 239, 240, 241, 1000):
+        direct = sources.extract_contracts(undated, limit=limit, tie_break=[S.ID, S.REFERENCE], method="direct")
+        cutoff = sources.extract_contracts(undated, limit=limit, tie_break=[S.ID, S.REFERENCE], method="cutoff")
+        assert rows(direct) == rows(cutoff)
+    with pytest.raises(ValueError, match="extract method"):
+        sources.extract_contracts(raw, method="guess")
+
+
 @pytest.fixture(scope="module")
 def stage1(spark, landed, tmp_path_factory):
     return run_stage1(spark, landed, str(tmp_path_factory.mktemp("clean") / "deep" / "t"))
