@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenderlens import schema as S
-from tenderlens.functions import number_column, parse_currency, parse_iso_date, strip_text
+from tenderlens.functions import exceeds, number_column, parse_currency, parse_iso_date, strip_text
 
 
 def _require(df: DataFrame, columns: Sequence[str]) -> None:
@@ -30,14 +30,22 @@ def cast_money(df: DataFrame, columns: Sequence[str] = tuple(S.MONEY_COLUMNS)) -
     return df.withColumns({c: money_column(df, c) for c in columns if c in df.columns})
 
 
-def is_valid_money(price: str = S.PRICE, award: str = S.AWARD) -> Column:
-    """True for rows whose two amounts are known and positive, else false."""
-    return F.coalesce((F.col(price) > 0) & (F.col(award) > 0), F.lit(False))
+def is_valid_money(df: DataFrame, price: str = S.PRICE, award: str = S.AWARD) -> Column:
+    """True for rows whose two amounts are known and positive, else false or NULL.
+
+    Stored numbers are compared as they are, so that the filter reaches the scan.
+    """
+    positive = [
+        parse_currency(F.col(c)) > 0 if isinstance(df.schema[c].dataType, T.StringType)
+        else exceeds(df, c, 0)
+        for c in (price, award)
+    ]
+    return positive[0] & positive[1]
 
 
 def valid_money_filter(df: DataFrame, price: str = S.PRICE, award: str = S.AWARD) -> DataFrame:
     """Drop rows in which the base price or the award is missing, zero or negative."""
-    return df.where((F.col(price) > 0) & (F.col(award) > 0))
+    return df.where(is_valid_money(df, price, award))
 
 
 def default_order(df: DataFrame, id_column: str = S.ID, date_column: str = S.PUBLISHED) -> list[Column]:
@@ -80,9 +88,9 @@ def clean_contracts(
     date_columns: Sequence[str] = (S.PUBLISHED,),
     order: Sequence[Column] | None = None,
 ) -> DataFrame:
-    """Cast amounts, drop invalid rows, keep one row per id, parse dates, trim texts."""
+    """Drop invalid amounts, keep one row per id; amounts and dates typed, texts trimmed."""
     _require(df, [price, award])
-    valid = valid_money_filter(cast_money(df, [price, award]), price, award)
+    valid = cast_money(valid_money_filter(df, price, award), [price, award])
     typed = trim_categories(parse_dates(valid, date_columns))
     first_date = date_columns[0] if date_columns else S.PUBLISHED
     chosen = order if order is not None else default_order(typed, id_column, first_date)

@@ -33,8 +33,8 @@ def _report(initial: Column, final: Column, valid: Column) -> list[Column]:
 def quality_report(
     df: DataFrame, id_column: str = S.ID, price: str = S.PRICE, award: str = S.AWARD
 ) -> DataFrame:
-    """Row balance of the cleaning, from the table with cast amounts and before any filter."""
-    valid = is_valid_money(price, award)
+    """Row balance of the cleaning, from the table before any filter."""
+    valid = is_valid_money(df, price, award)
     unique = F.lit(None).cast("bigint")
     if id_column in df.columns:
         unique = F.count_distinct(F.when(valid, F.col(id_column))) + F.coalesce(
@@ -51,7 +51,7 @@ def quality_balance(
     df: DataFrame, clean: DataFrame, price: str = S.PRICE, award: str = S.AWARD
 ) -> DataFrame:
     """The same report when the clean table is stored: two counts instead of a distinct count."""
-    totals = df.agg(F.count("*").alias("initial"), F.count_if(is_valid_money(price, award)).alias("valid"))
+    totals = df.agg(F.count("*").alias("initial"), F.count_if(is_valid_money(df, price, award)).alias("valid"))
     final = clean.agg(F.count("*")).scalar()
     return totals.select("*", final.alias("final")).select(
         *_report(F.col("initial"), F.col("final"), F.col("valid"))

@@ -46,7 +46,7 @@ def run_stage1(
     clean = read_clean(spark, output_path, file_format, multiline)
     return Stage1Result(
         clean=clean,
-        report=quality.quality_balance(cleaning.cast_money(raw), clean),
+        report=quality.quality_balance(raw, clean),
         nulls=quality.null_counts(clean),
         overcost=quality.overcost_rate(clean),
         retention=quality.retention(raw, clean),

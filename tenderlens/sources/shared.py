@@ -7,6 +7,20 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_local_folders: dict[str, str] = {}
+
+
+def _base(spark: SparkSession) -> str:
+    context = spark.sparkContext
+    configured = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if configured:
+        return configured
+    if not context.master.startswith("local"):
+        raise ValueError("Set spark.checkpoint.dir to a folder that every executor can reach")
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="tenderlens-")
+    return _local_folders[context.applicationId]
+
 
 def shared_folder(spark: SparkSession) -> str:
     """A new path below ``spark.checkpoint.dir``.
@@ -14,12 +28,4 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session without that setting gets a temporary folder; on a cluster a
     machine-local folder would be lost with its machine.
     """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("Set spark.checkpoint.dir to a folder that every executor can reach")
-        base = tempfile.mkdtemp(prefix="tenderlens-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    return f"{_base(spark).rstrip('/')}/{uuid.uuid4().hex}"

@@ -37,8 +37,17 @@ def test_invalid_first_copy_does_not_hide_a_valid_one(spark):
     )
     kept = cleaning.clean_contracts(table).orderBy(F.col(S.ID).asc_nulls_first()).collect()
     assert [(r[S.ID], r[S.PRICE]) for r in kept] == [(None, 2.0), ("A", 7.0)]
-    counted = quality.quality_report(cleaning.cast_money(table)).first()
-    assert tuple(counted)[:4] == (4, 2, 1, 1)
+    for counted_table in (table, cleaning.cast_money(table)):
+        assert tuple(quality.quality_report(counted_table).first())[:4] == (4, 2, 1, 1)
+
+
+def test_nan_is_no_valid_amount(spark):
+    table = spark.createDataFrame(
+        [("a", float("nan"), 1.0), ("b", 1.0, float("nan")), ("c", 1.0, 1.0)],
+        f"{S.ID} string, {S.PRICE} double, {S.AWARD} double",
+    )
+    assert [r[0] for r in cleaning.valid_money_filter(table).collect()] == ["c"]
+    assert rows(quality.quality_report(table)) == [(3, 1, 2, 0, 33.33)]
 
 
 def test_first_follows_the_given_order(spark):

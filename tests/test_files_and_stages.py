@@ -179,3 +179,8 @@ def test_command_line(spark, raw, tmp_path, capsys):
     assert spark.read.parquet(at("stage2/boxes")).count() == 3
     main(["extract", "--input", at("json"), "--output", at("none"), "--region", "Marte"])
     assert "No se encontraron registros" in capsys.readouterr().out
+
+
+def test_shared_folder_follows_the_setting(spark):
+    one, two = sources.shared_folder(spark), sources.shared_folder(spark)
+    assert one != two and one.startswith(spark.sparkContext.getConf().get("spark.checkpoint.dir"))

@@ -56,6 +56,11 @@ def test_extract_reads_its_columns_and_pushes_its_filters(stored):
     assert S.MODALITY not in schema and S.PRICE not in schema
 
 
+def test_cleaning_pushes_its_filter(stored):
+    (filters, _), = pushed(cleaning.clean_contracts(stored).select(S.ID))
+    assert f"GreaterThan({S.PRICE},0.0)" in filters and f"GreaterThan({S.AWARD},0.0)" in filters
+
+
 def test_hot_id_is_pruned_before_the_shuffle(stored):
     kept = cleaning.dedup_keep_first(stored, S.ID, [F.col(S.PUBLISHED).desc()])
     assert kept.count() == 40_001
