@@ -18,6 +18,7 @@ quantile.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -30,9 +31,10 @@ SMALL_INPUT_BYTES = 4 * 1024 * 1024
 # Targets of at most this many groups are broadcast to the second scan.
 MAX_BROADCAST_GROUPS = 20_000
 
+# Buckets per doubling of the value.
 _COARSE = 128
 _FINE = _COARSE * 65_536
-_OFFSET = 1_100  # above the largest binary exponent of a double in either direction
+_OFFSET = 800.0  # above the natural logarithm of any double, in size
 
 _VALUE, _COUNT, _BUCKET, _FINE_BUCKET, _WANTED = "_v", "_n", "_b", "_s", "_w"
 
@@ -50,7 +52,8 @@ def few_groups(df: DataFrame, keys: Sequence[str]) -> bool:
 
     Runs one aggregation over the key columns alone.
     """
-    groups = df.agg(F.approx_count_distinct(F.struct(*keys)).alias("groups")).first()[0]
+    key = F.col(keys[0]) if len(keys) == 1 else F.struct(*keys)
+    groups = df.agg(F.approx_count_distinct(key).alias("groups")).first()[0]
     return groups <= MAX_BROADCAST_GROUPS
 
 
@@ -61,11 +64,12 @@ def is_present(value: Column) -> Column:
 
 def _bucket(value: Column, per_octave: int) -> Column:
     """Number of the bucket of ``value``; never decreases as the value grows."""
-    exponent = F.least(F.log2(F.abs(value)), F.lit(float(_OFFSET)))
-    size = (F.rint((exponent + _OFFSET) * per_octave) + 1).cast("bigint")
-    # The coalesce makes the column non-nullable.  Without it the joins would add
-    # null filters below one use of a shared aggregate, which would then run twice.
-    return F.coalesce(F.when(value > 0, size).when(value < 0, -size), F.lit(0).cast("bigint"))
+    exponent = F.least(F.ln(F.abs(value)), F.lit(_OFFSET)) + _OFFSET
+    size = F.rint(exponent * (per_octave / math.log(2))) + 1
+    # Zero has no logarithm and gets bucket 0.  The coalesce also makes the column
+    # non-nullable: otherwise the joins would add null filters below one use of a
+    # shared aggregate, which would then run twice.
+    return F.coalesce((F.signum(value) * size).cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def _rows_before(keys: Sequence[str], order: str) -> Column:
