@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tenderlens import functions as fn
 from tenderlens import schema as S
 from tenderlens import sources
+from tenderlens.catalog.registry import Registry
 from tenderlens.catalog.views import (
     clean_table, clean_view, dedup_order, raw_contracts, rounded, table, with_clean, with_raw,
 )
@@ -18,15 +19,8 @@ _RAW = ", ".join(S.RAW_COLUMNS)
 _CLEAN = ", ".join(f.name for f in S.CLEAN_SCHEMA.fields)
 _TOP = 1_000
 
-QUERIES: dict = {}
-
-
-def _query(sql: str | None):
-    def register(function):
-        QUERIES[function.__name__] = (function, sql)
-        return function
-
-    return register
+QUERIES = Registry()
+_query = QUERIES.query
 
 
 _NEWEST_SQL = f"""
@@ -229,13 +223,10 @@ def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.column_profile(clean_table(spark, sf_dir))
 
 
-_CLEANED = [c for c in S.RAW_COLUMNS]
-
-
 @_query(with_clean(f"select {_RAW} from clean"))
 def clean_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_contracts(spark, sf_dir)
-    return cleaning.clean_contracts(raw, order=dedup_order()).select(*_CLEANED)
+    return cleaning.clean_contracts(raw, order=dedup_order()).select(*S.RAW_COLUMNS)
 
 
 @_query(with_raw("""

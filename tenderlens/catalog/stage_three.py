@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenderlens import schema as S
+from tenderlens.catalog.registry import Registry
 from tenderlens.catalog.views import (
     clean_table, predictions_view, rounded, with_clean, with_predictions,
 )
@@ -16,15 +17,8 @@ from tenderlens.operators import regression as R
 from tenderlens.plans import run_stage3
 from tenderlens.sources import shared_folder
 
-QUERIES: dict = {}
-
-
-def _query(sql: str | None):
-    def register(function):
-        QUERIES[function.__name__] = (function, sql)
-        return function
-
-    return register
+QUERIES = Registry()
+_query = QUERIES.query
 
 
 def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

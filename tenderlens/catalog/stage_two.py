@@ -7,20 +7,14 @@ from pyspark.sql import functions as F
 
 from tenderlens import functions as fn
 from tenderlens import schema as S
+from tenderlens.catalog.registry import Registry
 from tenderlens.catalog.views import clean_table, rounded, table, with_clean
 from tenderlens.operators import charts, describe, grouped, outliers
 from tenderlens.operators.quantiles import exact_quantiles
 from tenderlens.plans import stage2
 
-QUERIES: dict = {}
-
-
-def _query(sql: str | None):
-    def register(function):
-        QUERIES[function.__name__] = (function, sql)
-        return function
-
-    return register
+QUERIES = Registry()
+_query = QUERIES.query
 
 
 def _each(columns, select: str) -> str:
