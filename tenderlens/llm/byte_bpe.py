@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenderlens.llm.text_pieces import Boundaries, PieceEncoder
+from tenderlens.llm.text_pieces import Boundaries, PieceEncoder, packed
 
 
 class ByteBpe:
@@ -93,7 +93,7 @@ class ByteBpe:
                 bound, a = a, inner_a
             else:
                 break
-        if len(self._adjacent) > 2_000_000:
+        if len(self._adjacent) > 500_000:
             self._adjacent.clear()
         self._adjacent[left, right] = allowed
         return allowed
@@ -162,23 +162,23 @@ def text_encoder(path: str, pattern: str) -> PieceEncoder:
     import regex
 
     bpe, matches = from_file(path), regex.compile(pattern).findall
-    known: dict[str, list[int]] = {}
+    known: dict[str, bytes] = {}
 
-    def encode(pieces: list[str]) -> list[list[int]]:
-        if len(known) > 200_000:
+    def encode(pieces: list[str]) -> list[bytes]:
+        if len(known) > 150_000:
             known.clear()
         result = []
         for piece in pieces:
-            ids: list[int] = []
+            ids = []
             for match in matches(piece):
                 found = known.get(match)
                 if found is None:
-                    found = known[match] = bpe.piece(match.encode("utf-8"))
-                ids += found
-            result.append(ids)
+                    found = known[match] = packed(bpe.piece(match.encode("utf-8")))
+                ids.append(found)
+            result.append(b"".join(ids))
         return result
 
-    return PieceEncoder(encode, Boundaries.LEADING)
+    return PieceEncoder(encode, Boundaries.LEADING, remember=100_000)
 
 
 def encode(text: Column, path: str, pattern: str) -> Column:

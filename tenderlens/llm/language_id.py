@@ -14,7 +14,7 @@ UNKNOWN = "und"
 
 
 def fit(
-    docs: DataFrame, learn: Column, sample: int = 500, penalty: float = 12.0,
+    docs: DataFrame, learn: Column, sample: int = 500, penalty: float = 25.0,
     text: str = "text", language: str = "lang", id_column: str = "doc_id",
 ) -> LanguageModel:
     """A model from the rows of ``docs`` where ``learn`` holds and the language is known.

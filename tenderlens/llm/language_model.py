@@ -7,7 +7,6 @@ switch from one language to another costs ``penalty``.
 """
 
 import bisect
-import math
 import re
 from collections import defaultdict
 from dataclasses import dataclass, field
@@ -44,50 +43,58 @@ class LanguageModel:
     languages: list[str]
     counts: dict[str, list[int]]
     scripts: dict[str, list[bool]]
-    penalty: float = 12.0
+    penalty: float = 25.0
     remember: int = 300_000
     _index: dict[str, int] = field(default_factory=dict, repr=False)
     _scores: np.ndarray | None = field(default=None, repr=False)
     _sizes: np.ndarray | None = field(default=None, repr=False)
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if not k.startswith("_") or k in ("_floor", "_table")}
+        return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
 
     def __setstate__(self, state):
         self.__dict__.update(state, _index={}, _scores=None, _sizes=None)
+        self.__post_init__()
 
     def __post_init__(self):
-        total = [sum(c) + 0.5 * (len(self.counts) + 1) for c in zip(*self.counts.values())] or [1.0] * len(self.languages)
-        self._floor = [math.log(0.5 / t) for t in total]
-        self._table = {
-            gram: [math.log((c + 0.5) / t) for c, t in zip(row, total)] for gram, row in self.counts.items()
-        }
-
-    def word(self, word: str) -> list[float]:
-        """Scores of a word, the best language's being zero; languages of other scripts lose."""
         k = len(self.languages)
-        padded, score = f" {word} ", [0.0] * k
-        for i in range(len(word)):
-            row = self._table.get(padded[i:i + 3], self._floor)
-            for j in range(k):
-                score[j] += row[j]
-        allowed = self.scripts.get(script_of(word[0]))
-        if allowed is None or not any(allowed):
-            return [0.0] * k  # nobody writes it: the neighbours decide
-        best = max(s for s, a in zip(score, allowed) if a)
-        return [max(s - best, -20.0) if a else -20.0 for s, a in zip(score, allowed)]
+        counts = np.array([*self.counts.values(), [0] * k], np.float64).reshape(-1, k) + 0.5
+        self._table = np.log(counts / counts.sum(0))  # the last row is for unknown trigrams
+        self._grams = dict(zip(self.counts, range(len(self.counts))))
+        nobody = [True] * k
+        self._writers = {name: row if any(row) else nobody for name, row in self.scripts.items()}
+
+    def words(self, words: list[str]) -> np.ndarray:
+        """Scores of words, the best language's being zero; languages of other scripts lose.
+
+        A script that no language writes gives zeros, so the neighbours decide.
+        """
+        k, unknown = len(self.languages), len(self._grams)
+        if not words or not k:
+            return np.zeros((len(words), k))
+        padded = [f" {word} " for word in words]
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        grams = (self._grams.get(word[i:i + 3], unknown) for word in padded for i in range(len(word) - 2))
+        rows = self._table[np.fromiter(grams, np.int64, int(sizes.sum()))]
+        score = np.add.reduceat(rows, np.cumsum(sizes) - sizes, axis=0)
+        scripts = [script_of(word[0]) for word in words]
+        known = np.array([script in self._writers for script in scripts])
+        allowed = np.array([self._writers.get(script, [True] * k) for script in scripts])
+        score = np.where(allowed, score, -np.inf)
+        score = np.maximum(score - score.max(axis=1, keepdims=True), -20.0)
+        return np.where(known[:, None], score, 0.0)
 
     def _learn(self, pieces: list[str]) -> None:
-        rows, sizes = [], []
-        for piece in pieces:
-            words = letters_of(piece)
-            scores = [self.word(w) for w in words]
-            rows.append([sum(x) for x in zip(*scores)] if scores else [0.0] * len(self.languages))
-            sizes.append(sum(map(len, words)))
+        found = [letters_of(piece) for piece in pieces]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        ends = np.cumsum(counts)
+        words = [word for some in found for word in some]
+        total = np.concatenate([np.zeros((1, len(self.languages))), np.cumsum(self.words(words), axis=0)])
+        letters = np.concatenate([[0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))])
+        rows = (total[ends] - total[ends - counts]).astype(np.float32)
+        sizes = (letters[ends] - letters[ends - counts]).astype(np.int32)
         start = len(self._index)
         self._index.update(zip(pieces, range(start, start + len(pieces))))
-        rows = np.array(rows, np.float32).reshape(-1, len(self.languages))
-        sizes = np.array(sizes, np.int32)
         self._scores = rows if self._scores is None or not start else np.concatenate([self._scores, rows])
         self._sizes = sizes if self._sizes is None or not start else np.concatenate([self._sizes, sizes])
 
@@ -111,19 +118,19 @@ class LanguageModel:
 def viterbi(scores: np.ndarray, penalty: float) -> np.ndarray:
     """The labels with the largest sum of scores less ``penalty`` for each switch.
 
-    Ties go to the label that comes first, and to staying.  If no stretch gains more than half
-    a penalty over the best single label, that label is the answer: m stretches of other
-    labels cost at least m - 1 switches, or m if a stretch of the single label remains.
+    Ties go to the label that comes first, and to staying.  One label for all is the answer if no
+    stretch of another gains more than a penalty, and no beginning and end together do: m
+    stretches of other labels take m switches if a stretch of the one label remains, and m - 1 if none does.
     """
     n, k = scores.shape
     if n == 0 or k == 0:
         return np.zeros(n, np.int64)
-    total = scores.sum(0)
-    best = int(total.argmax())
+    best = int(scores.sum(0).argmax())
     gain = np.cumsum(scores - scores[:, best:best + 1], axis=0)
     low = np.minimum(np.minimum.accumulate(gain, axis=0), 0.0)
-    lowest_before = np.vstack([np.zeros((1, k)), low[:-1]])
-    if (gain - lowest_before).max() <= penalty / 2:
+    stretch = max((gain[1:] - low[:-1]).max(initial=0.0), gain[0].max())
+    ends = max(gain.max(), 0.0) + max((gain[-1] - gain).max(), 0.0)
+    if stretch <= penalty and ends <= penalty:
         return np.full(n, best, np.int64)
     back = np.zeros((n, k), np.int64)
     stay = np.arange(k)
@@ -140,7 +147,7 @@ def viterbi(scores: np.ndarray, penalty: float) -> np.ndarray:
     return labels
 
 
-def fit_counts(rows: list[tuple[str, str, int]], penalty: float = 12.0) -> LanguageModel:
+def fit_counts(rows: list[tuple[str, str, int]], penalty: float = 25.0) -> LanguageModel:
     """A model from (language, trigram, count); no rows give a model without languages."""
     languages = sorted({language for language, _, _ in rows})
     at = {language: i for i, language in enumerate(languages)}

@@ -17,8 +17,8 @@ ids of a text are the ids of its pieces, one after the other.  ``Boundaries`` na
 
 import enum
 import re
+from array import array
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -60,12 +60,17 @@ def segments(text: str, size: int) -> Iterator[str]:
     yield text[start:] if start else text
 
 
+def packed(ids: list[int]) -> bytes:
+    """Ids as unsigned 32-bit integers."""
+    return array("I", ids).tobytes()
+
+
 class Ragged:
-    """Lists of integers, one after the other in one array."""
+    """Packed lists of ids, one after the other in one array."""
 
-    def __init__(self, lists: list[list[int]]):
-        self.counts = np.fromiter(map(len, lists), np.int64, len(lists))
-        self.flat = np.fromiter(chain.from_iterable(lists), np.uint32, int(self.counts.sum()))
+    def __init__(self, lists: list[bytes]):
+        self.counts = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
+        self.flat = np.frombuffer(b"".join(lists), np.uint32)
         self.starts = np.cumsum(self.counts) - self.counts
 
     def take(self, index: np.ndarray) -> np.ndarray:
@@ -78,7 +83,7 @@ class Ragged:
 class PieceEncoder:
     """Ids of whole texts from the ids of their distinct pieces.
 
-    ``encode`` gets a list of pieces and returns a list of ids for each.  Texts with one of
+    ``encode`` gets a list of pieces and returns the packed ids of each.  Texts with one of
     the ``special`` strings are encoded whole.  Texts are taken in batches of about
     ``batch`` bytes, longer ones in segments of that size, so memory is bounded by it.  Up
     to ``remember`` pieces are kept from batch to batch; beyond it those of the last one.
@@ -86,15 +91,15 @@ class PieceEncoder:
 
     def __init__(
         self,
-        encode: Callable[[list[str]], list[list[int]]],
+        encode: Callable[[list[str]], list[bytes]],
         boundaries: Boundaries,
         special: tuple[str, ...] = (),
-        batch: int = 8_000_000,
-        remember: int = 250_000,
+        batch: int = 4_000_000,
+        remember: int = 150_000,
     ):
         self._encode, self._boundaries, self._batch = encode, boundaries, batch
         self._remember = remember
-        self._known: dict[str, list[int]] = {}
+        self._known: dict[str, bytes] = {}
         self._special = re.compile("|".join(map(re.escape, special))) if any(special) else None
 
     def _cut(self, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
@@ -121,9 +126,8 @@ class PieceEncoder:
         found = iter(self._encode(missing))
         lists = [next(found) if ids is None else ids for ids in lists]
         if len(self._known) + len(missing) > self._remember:
-            self._known = dict(zip(distinct[:self._remember], lists))
-        else:
-            self._known.update(zip(distinct, lists))
+            self._known = {}
+        self._known.update(zip(distinct[:self._remember], lists))
         return coded.indices.to_numpy(zero_copy_only=False), Ragged(lists)
 
     def _batch_ids(self, texts: list[str], lengths: bool) -> list:
@@ -176,7 +180,7 @@ class PieceEncoder:
                     yield rows, self._batch_ids(run, lengths)
                     rows, run, size = [], [], 0
                 ids = self._encode([text])[0]
-                yield [row], [len(ids) if lengths else np.asarray(ids, np.uint32)]
+                yield [row], [len(ids) // 4 if lengths else np.frombuffer(ids, np.uint32)]
                 continue
             rows.append(row)
             run.append(text)

@@ -4,7 +4,7 @@ import functools
 import json
 import os
 
-from tenderlens.llm.text_pieces import Boundaries, PieceEncoder
+from tenderlens.llm.text_pieces import Boundaries, PieceEncoder, packed
 
 
 def _json_boundaries(path: str) -> Boundaries:
@@ -39,11 +39,15 @@ def library(path: str):
     raise ValueError(f"Neither a .json nor a .model file: {path}")
 
 
-def _encode(path: str, pieces: list[str]) -> list[list[int]]:
-    if path.endswith(".json"):
-        batch = library(path).encode_batch_fast(pieces, add_special_tokens=False)
-        return [e.ids for e in batch]
-    return library(path).encode(pieces, num_threads=1)
+def _encode(path: str, pieces: list[str]) -> list[bytes]:
+    found: list[bytes] = []
+    for at in range(0, len(pieces), 4096):  # the libraries' own results are large
+        some = pieces[at:at + 4096]
+        if path.endswith(".json"):
+            found += [packed(e.ids) for e in library(path).encode_batch_fast(some, add_special_tokens=False)]
+        else:
+            found += map(packed, library(path).encode(some, num_threads=1))
+    return found
 
 
 def _special(path: str) -> tuple[str, ...]:
