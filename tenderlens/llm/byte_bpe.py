@@ -165,7 +165,7 @@ def text_encoder(path: str, pattern: str) -> PieceEncoder:
     known: dict[str, bytes] = {}
 
     def encode(pieces: list[str]) -> list[bytes]:
-        if len(known) > 150_000:
+        if len(known) > 200_000:
             known.clear()
         result = []
         for piece in pieces:
@@ -178,7 +178,7 @@ def text_encoder(path: str, pattern: str) -> PieceEncoder:
             result.append(b"".join(ids))
         return result
 
-    return PieceEncoder(encode, Boundaries.LEADING, remember=100_000)
+    return PieceEncoder(encode, Boundaries.LEADING, remember=20_000)
 
 
 def encode(text: Column, path: str, pattern: str) -> Column:

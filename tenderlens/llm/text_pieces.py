@@ -94,8 +94,8 @@ class PieceEncoder:
         encode: Callable[[list[str]], list[bytes]],
         boundaries: Boundaries,
         special: tuple[str, ...] = (),
-        batch: int = 4_000_000,
-        remember: int = 150_000,
+        batch: int = 2_000_000,
+        remember: int = 60_000,
     ):
         self._encode, self._boundaries, self._batch = encode, boundaries, batch
         self._remember = remember

@@ -4,6 +4,8 @@ import functools
 import json
 import os
 
+import numpy as np
+
 from tenderlens.llm.text_pieces import Boundaries, PieceEncoder, packed
 
 
@@ -50,6 +52,53 @@ def _encode(path: str, pieces: list[str]) -> list[bytes]:
     return found
 
 
+@functools.cache
+def byte_level(path: str):
+    """A faster encoder of the same ids for a byte-level ``.json`` file, or None.
+
+    Where the ids of merged tokens rise with the merges' order, they are ranks, and the rank
+    encoder gives the ids of the library.  Its table is read from the file.
+    """
+    import public_tokenizers
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    made = [model["vocab"].get(a + b, -1) for a, b in merges]
+    if made != sorted(made) or -1 in made[:1]:
+        return None
+    letters = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves
+    others = [b for b in range(256) if b not in letters]
+    of_byte = {chr(b): b for b in letters} | {chr(256 + i): b for i, b in enumerate(others)}
+    ranks = {
+        bytes(of_byte[c] for c in token): rank for token, rank in model["vocab"].items()
+        if all(c in of_byte for c in token) and token not in _special(path)
+    }
+    encoding = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    sizes = np.zeros(max(ranks.values()) + 1, np.int64)
+    for token, rank in ranks.items():
+        sizes[rank] = len(token)
+    return encoding, sizes
+
+
+def _encode_byte_level(path: str, pieces: list[str]) -> list[bytes]:
+    """Pieces that all begin with a space are encoded as one text and parted by their bytes."""
+    encoding, sizes = byte_level(path)
+    if not all(piece.startswith(" ") for piece in pieces):
+        return [packed(encoding.encode_ordinary(piece)) for piece in pieces]
+    found: list[bytes] = []
+    for at in range(0, len(pieces), 65536):
+        some = pieces[at:at + 65536]
+        ids = np.asarray(encoding.encode_ordinary("".join(some)), np.uint32)
+        ends = np.cumsum([len(piece.encode("utf-8")) for piece in some])
+        cuts = [0, *np.searchsorted(np.cumsum(sizes[ids]), ends, side="right").tolist()]
+        data = ids.tobytes()
+        found += [data[4 * a:4 * b] for a, b in zip(cuts, cuts[1:])]
+    return found
+
+
+@functools.cache
 def _special(path: str) -> tuple[str, ...]:
     if path.endswith(".json"):
         return tuple(t.content for t in library(path).get_added_tokens_decoder().values())
@@ -64,4 +113,21 @@ def _boundaries(path: str) -> Boundaries:
 def encoder(path: str) -> PieceEncoder:
     """The piece encoder of a ``.json`` or ``.model`` file."""
     library(path)
-    return PieceEncoder(functools.partial(_encode, path), _boundaries(path), _special(path))
+    boundaries = _boundaries(path)
+    encode = functools.partial(_encode, path)
+    if boundaries is Boundaries.LEADING and byte_level(path):
+        fast = functools.partial(_encode_byte_level, path)
+        special = _special(path)
+        encode = _unless_special(fast, encode, special)
+    return PieceEncoder(encode, boundaries, _special(path))
+
+
+def _unless_special(fast, library_encode, special: tuple[str, ...]):
+    """Single texts with special strings go to the library itself."""
+
+    def encode(pieces: list[str]) -> list[bytes]:
+        if len(pieces) == 1 and any(s in pieces[0] for s in special):
+            return library_encode(pieces)
+        return fast(pieces)
+
+    return encode
