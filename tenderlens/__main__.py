@@ -17,7 +17,7 @@ from tenderlens.sources import (
 
 def _show(title: str, table: DataFrame) -> None:
     print(f"\n{title}")
-    table.show(50, truncate=False)
+    table.show(table.count(), truncate=False)
 
 
 def _extract(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -17,7 +17,7 @@ from tenderlens.plans import run_stage1
 
 _RAW = ", ".join(S.RAW_COLUMNS)
 _CLEAN = ", ".join(f.name for f in S.CLEAN_SCHEMA.fields)
-_TOP = 1_000
+_TOP = 10_000
 
 QUERIES = Registry()
 _query = QUERIES.query

@@ -36,7 +36,7 @@ _PREPARED_SQL = """
     coalesce(proveedores_unicos_con, 1) as proveedores_unicos_con,
     coalesce(modalidad_de_contratacion, 'No Definido') as modalidad_de_contratacion,
     ln(1 + valor_total_adjudicacion) as label,
-    cast('0x' || substr(md5(concat('42:', id_del_portafolio)), 1, 8) as bigint) % 1000 < 200 as de_prueba
+    cast('0x' || substr(md5(concat('42:', id_del_portafolio)), 1, 8) as bigint) < 858993460 as de_prueba
   from clean)
 """
 

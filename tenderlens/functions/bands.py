@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tenderlens.functions.numeric import null_if_nan
+
 # Report labels in logical order.
 BAND_LABELS = [
     "1 oferente (Unipersonal)",
@@ -15,7 +17,8 @@ BAND_LABELS = [
 
 
 def band_order(bidders: Column) -> Column:
-    """1 to 4.  Fractions between two bands fall into the last one."""
+    """1 to 4.  Fractions between two bands fall into the last one, missing numbers into the first."""
+    bidders = null_if_nan(bidders)
     return (
         F.when(bidders.isNull() | (bidders <= 1), 1)
         .when(bidders.between(2, 3), 2)

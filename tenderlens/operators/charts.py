@@ -254,7 +254,7 @@ def award_ratio_axis(
     """One row: upper end of the bidder axis."""
     points = award_ratio_points(df, price, award, competition)
     # An empty selection has no maximum; ``least`` would then fall back to the cap.
-    top = F.max(competition)
+    top = F.max(number_column(points, competition))
     return points.agg(
         F.when(top.isNotNull(), F.least(top, F.lit(float(BIDDER_AXIS_CAP)))).alias("eje_x_max")
     )

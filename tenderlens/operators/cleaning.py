@@ -15,7 +15,7 @@ from tenderlens.functions import exceeds, number_column, parse_currency, parse_i
 def _require(df: DataFrame, columns: Sequence[str]) -> None:
     missing = [name for name in columns if name not in df.columns]
     if missing:
-        raise ValueError(f"Faltan columnas requeridas en el DataFrame: {missing}")
+        raise ValueError(f"The table lacks the columns {missing}")
 
 
 def money_column(df: DataFrame, name: str) -> Column:

@@ -8,17 +8,22 @@ from pyspark.sql import types as T
 
 from tenderlens import schema as S
 from tenderlens.functions import duration_days, number_column, parse_number
+from tenderlens.functions.numeric import null_if_nan
+
+
+def _number(name: str) -> Column:
+    return null_if_nan(F.col(name).cast("double"))
 
 
 def overcost_amount(price: str = S.PRICE, award: str = S.AWARD) -> Column:
     """Award minus base price."""
-    return F.col(award) - F.col(price)
+    return _number(award) - _number(price)
 
 
 def overcost_ratio(price: str = S.PRICE, award: str = S.AWARD) -> Column:
     """Overrun as a share of the base price; 0 where the base is missing or not positive."""
-    relative = F.try_divide(overcost_amount(price, award), F.col(price))
-    return F.when(F.col(price) > 0, relative).otherwise(0.0)
+    relative = F.try_divide(overcost_amount(price, award), _number(price))
+    return F.when(_number(price) > 0, relative).otherwise(0.0)
 
 
 def overcost_flag(price: str = S.PRICE, award: str = S.AWARD) -> Column:

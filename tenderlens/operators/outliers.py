@@ -31,7 +31,7 @@ def tukey_bounds(df: DataFrame, value: str, k: float = 1.5, method: str = "auto"
 
 
 def _as_scalar(bounds: DataFrame) -> Column:
-    """The fences as one scalar subquery, which runs once and reaches the scan as a literal."""
+    """The fences as one scalar subquery, which runs once."""
     return bounds.select(F.struct("*")).scalar()
 
 
@@ -84,12 +84,13 @@ def top_outliers(
     method: str = "auto",
 ) -> DataFrame:
     """The ``top_n`` largest upper outliers with their context, largest first."""
-    fence = _as_scalar(bounds if bounds is not None else tukey_bounds(df, value, k, method))
+    bounds = bounds if bounds is not None else tukey_bounds(df, value, k, method)
+    fence = bounds.select("limite_superior").scalar()  # a plain value reaches the scan
     shown = [c for c in info_columns if c in df.columns]
     shown += [] if value in shown else [value]
     ties = [c for c in tie_break if c in df.columns]
     amount = number_column(df, value)
     return (
-        df.where(exceeds(df, value, fence["limite_superior"]))
+        df.where(exceeds(df, value, fence))
         .orderBy(amount.desc(), *ties).limit(top_n).select(*shown)
     )

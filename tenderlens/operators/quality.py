@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tenderlens import schema as S
 from tenderlens.functions import number_column
@@ -58,19 +59,25 @@ def quality_balance(
     )
 
 
+def _is_missing(df: DataFrame, name: str) -> Column:
+    if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
+        return F.col(name).isNull() | F.isnan(name)
+    return F.col(name).isNull()
+
+
 def null_counts(df: DataFrame) -> DataFrame:
     """``(columna, nulos)`` for every column.
 
     Missing categories stay NULL through the cleaning and are counted as such.
     """
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+    counts = df.agg(*[F.count_if(_is_missing(df, c)).alias(c) for c in df.columns])
     return counts.unpivot([], df.columns, "columna", "nulos")
 
 
 def column_profile(df: DataFrame) -> DataFrame:
     """Type, filled and missing values of every column, share of missing in percent."""
     kinds = F.create_map(*[F.lit(part) for pair in df.dtypes for part in pair])
-    counts = df.agg(F.count("*").alias("_rows"), *[F.count(c).alias(c) for c in df.columns])
+    counts = df.agg(F.count("*").alias("_rows"), *[F.count_if(~_is_missing(df, c)).alias(c) for c in df.columns])
     nulls = F.col("_rows") - F.col("no_nulos")
     return counts.unpivot(["_rows"], df.columns, "columna", "no_nulos").select(
         "columna",

@@ -49,7 +49,7 @@ def prepare_features(df: DataFrame, target: str = S.AWARD, keep: Sequence[str] =
     required = [S.PRICE, S.DURATION_DAYS, S.BIDDERS, S.MODALITY, target]
     missing = [c for c in required if c not in df.columns]
     if missing:
-        raise ValueError(f"Faltan columnas requeridas en el DataFrame: {missing}")
+        raise ValueError(f"The table lacks the columns {missing}")
     return df.select(
         *keep,
         _log_amount(number_column(df, S.PRICE)).alias(PRICE_LOG),
@@ -68,7 +68,7 @@ def is_test_row(id_column: str = S.ID, test_size: float = 0.2, seed: int = 42) -
     """
     text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_column).cast("string"), F.lit("")))
     number = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
-    return number % 1000 < round(test_size * 1000)
+    return number < math.ceil(test_size * 2**32)
 
 
 def hash_split(
@@ -166,30 +166,28 @@ def fit_model(
     """
     kind = model_type.lower()
     if kind not in MODEL_TYPES:
-        raise ValueError(
-            f"Tipo de modelo no soportado: '{model_type}'. Use 'ridge' o 'linear'."
-        )
+        raise ValueError(f"No model type '{model_type}'; there are {', '.join(MODEL_TYPES)}")
     inputs = [*numeric, *categorical, LABEL]
     facts = train.agg(
         F.count(LABEL).alias("n"),
         F.stddev_pop(LABEL).alias("std"),
         F.count_if(F.greatest(*[F.col(c).isNull() for c in inputs])).alias("incomplete"),
     ).first()
+    if not facts["n"] and not facts["incomplete"]:
+        raise ValueError("No training rows")
     if facts["incomplete"]:
         raise ValueError(f"{facts['incomplete']} training rows have a missing feature or label")
 
     preprocessor = build_preprocessor(train, numeric, categorical, facts["n"])
     width = len(feature_names(preprocessor))
-    normal = width <= _NORMAL_SOLVER_FEATURES
+    if width > _NORMAL_SOLVER_FEATURES:
+        raise ValueError(f"{width} features; the normal equations take {_NORMAL_SOLVER_FEATURES} at most")
     # The estimator minimises the mean error on a label scaled by its deviation, hence
-    # the factor between its penalty and ``alpha``.  The iterative solver scales by the
-    # sample deviation, the normal equations by the population one.
-    n = facts["n"]
-    scale = facts["std"] if normal else facts["std"] * math.sqrt(n / (n - 1))
+    # the factor between its penalty and ``alpha``.
     regressor = LinearRegression(
         featuresCol="features", labelCol=LABEL, predictionCol=PREDICTION,
-        elasticNetParam=0.0, standardization=False, solver="normal" if normal else "l-bfgs",
-        regParam=alpha * scale / n if kind == "ridge" else 0.0,
+        elasticNetParam=0.0, standardization=False, solver="normal",
+        regParam=alpha * facts["std"] / facts["n"] if kind == "ridge" else 0.0,
     )
     fitted = regressor.fit(preprocessor.transform(train).select("features", LABEL))
     return PipelineModel([*preprocessor.stages, fitted])

@@ -17,7 +17,7 @@ CURRENCY = {
     "$ 1,500,000": 1500000.0, "2.500.000,50": 2500000.5, " 350000 ": 350000.0, None: None,
     "1500,50": 1500.5, "12,5": 125.0, "1.500": 1.5, "1.500.000": None, "1,500,50": None,
     "-$ 500": -500.0, "COP 5": None, "(500)": None, "1,500,000.50": 1500000.5,
-    "1500,": 1500.0, "1f": None, "1.0d": None, "": None, "1e400": None, "1e5": 100000.0,
+    "1500,": 1500.0, "1f": None, "1.0d": None, "": None, "1e400": None, "1e5": 100000.0, "1e300": 1e300, "1.7e308": 1.7e308, "-1e305": -1e305,
     "\xa0$\xa01.234,5\xa0": 1234.5, "inf": math.inf, "-Infinity": -math.inf, "nan": None,
     ".5": 0.5, "5.": 5.0, "+5": 5.0, "0x10": None, "1_000": None, "$\t7": 7.0,
 }

@@ -101,7 +101,9 @@ def test_hot_group_statistics_are_exact(stored):
 
 def test_upper_fence_reaches_the_scan(stored):
     top = outliers.top_outliers(stored, S.AWARD, method="narrow")
-    assert "GreaterThan" in final_plan(top) or "TakeOrderedAndProject" in final_plan(top)
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    # a plain column against a plain value, which the Parquet reader can compare
+    assert re.search(rf"{S.AWARD}#\d+ > Subquery", plan), plan
     assert len(rows(top)) == 10
 
 
