@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tenderlens.llm.common import tidy
 from tenderlens.llm.text_pieces import Boundaries, PieceEncoder, packed
 
 
@@ -186,7 +187,7 @@ def encode(text: Column, path: str, pattern: str) -> Column:
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = text_encoder(path, pattern)
-        for batch in batches:
+        for batch in tidy(batches):
             yield pa.array([_packed(ids) for ids in encoder.ids(batch)], pa.binary())
 
     return F.arrow_udf(run, "binary")(text)
@@ -200,7 +201,7 @@ def decode(ids: Column, path: str) -> Column:
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = from_file(path)
-        for batch in batches:
+        for batch in tidy(batches):
             lists = (np.frombuffer(i or b"", "<u4").tolist() for i in batch.to_pylist())
             yield pa.array([bpe.decode(i) for i in lists], pa.binary())
 
@@ -222,7 +223,7 @@ def encode_decode(
 
     def digests(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder, bpe = text_encoder(path, pattern), from_file(path)
-        for batch in batches:
+        for batch in tidy(batches):
             counts, of_ids, of_bytes = [], [], []
             for ids in encoder.ids(batch):
                 counts.append(len(ids))

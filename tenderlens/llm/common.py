@@ -1,6 +1,11 @@
 """Helpers that the operators share."""
 
+import ctypes
 import string
+from collections.abc import Iterable, Iterator
+from typing import TypeVar
+
+import pyarrow as pa
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,3 +56,21 @@ def blocks_of(rows: Column, size: int) -> Column:
 def block(blocks: Column, *key: Column) -> Column:
     """The block of a row, by a hash of its key."""
     return F.pmod(F.xxhash64(F.lit(17), *key), blocks).cast("int")
+
+
+_Batch = TypeVar("_Batch")
+
+
+def tidy(batches: Iterable[_Batch]) -> Iterator[_Batch]:
+    """The batches; after each, memory that a worker has freed goes back to the machine.
+
+    Spark's Python workers live on from task to task, and without this each keeps the most
+    it ever held.
+    """
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+        if trim:
+            trim(0)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenderlens.llm import language_model
+from tenderlens.llm.common import tidy
 from tenderlens.llm.language_model import LanguageModel
 
 UNKNOWN = "und"
@@ -56,7 +57,7 @@ def predict(text: Column, model: LanguageModel) -> Column:
     """
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for batch in tidy(batches):
             names, shares = [], []
             for texts in _batches(batch):
                 for rows in model.look_up(texts):
@@ -84,7 +85,7 @@ def spans(text: Column, model: LanguageModel) -> Column:
     """
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for batch in tidy(batches):
             counts, names, starts, ends, letters = [0], [], [], [], []
             for texts in _batches(batch):
                 for rows in model.look_up(texts):

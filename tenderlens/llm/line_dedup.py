@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenderlens.llm.common import stored
+from tenderlens.llm.common import stored, tidy
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -89,7 +89,7 @@ def _variants(candidates: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for batch in tidy(batches):
             found = [deletion_hashes(line.as_py()) for line in batch]
             counts = np.concatenate([[0], np.cumsum([len(f) for f in found])])
             flat = np.concatenate(found) if found else np.zeros(0, np.uint64)
@@ -133,7 +133,7 @@ def _without(text: Column, stay: Column) -> Column:
     """A text with its blank lines and those whose places are in ``stay``, and how many went."""
 
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for texts, places in batches:
+        for texts, places in tidy(batches):
             left, before, gone = [], [], []
             for text, at in zip(texts, places):
                 text, at = text.as_py(), set(at.as_py() or ())
@@ -191,7 +191,7 @@ def _chosen(text: Column, places: Column) -> Column:
     """The lines of a text at ``places``, as structs of place and line."""
 
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for texts, wanted in batches:
+        for texts, wanted in tidy(batches):
             counts, n, found = [0], [], []
             for text, at in zip(texts, wanted):
                 lines, at = text.as_py().split("\n"), at.as_py()

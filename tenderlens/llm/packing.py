@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenderlens.llm import packing_plan, vocabularies
-from tenderlens.llm.common import block, blocks_of, stored
+from tenderlens.llm.common import block, blocks_of, stored, tidy
 
 _BLOCK = 8192
 
@@ -33,7 +33,7 @@ def cut_pieces(
 
     def pieces(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = vocabularies.encoder(path)
-        for batch in batches:
+        for batch in tidy(batches):
             counts, starts, lengths, sums = [0], [], [], []
             for ids in encoder.ids(batch):
                 ids = np.append(ids, end).astype("<u4")
@@ -88,7 +88,7 @@ def assign(pieces: DataFrame, capacity: int = 2048, rounds: int = 300) -> DataFr
     keys = slots.length * span + slots.rank
 
     def places(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for length, rank in batches:
+        for length, rank in tidy(batches):
             length, rank = (x.to_numpy(zero_copy_only=False) for x in (length, rank))
             at = np.searchsorted(keys, length * span + rank, side="right") - 1
             sequence = slots.sequence[at] + rank - slots.rank[at]

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tenderlens.llm.common import block, blocks_of, stored
+from tenderlens.llm.common import block, blocks_of, stored, tidy
 from tenderlens.llm.components import components
 
 _SEED = 42
@@ -69,7 +69,7 @@ def fingerprint(text: Column, size: int = 3) -> Column:
     """
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for batch in tidy(batches):
             found = np.fromiter((fingerprint_of(t.as_py() or "", size) for t in batch), np.uint64, len(batch))
             yield pa.array(found.view(np.int64), pa.int64())
 
@@ -124,7 +124,7 @@ def links(values: DataFrame, radius: int = 3, size: int = 1024) -> DataFrame:
     groups = paired.groupBy("t", "key", "x", "y").agg(F.collect_list("item").alias("items"))
 
     def run(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for x, y, items in batches:
+        for x, y, items in tidy(batches):
             counts, a, b = [0], [], []
             for same, group in zip((p == q for p, q in zip(x.to_pylist(), y.to_pylist())), items):
                 flat = group.values

@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tenderlens.llm.common import tidy
 from tenderlens.llm import vocabularies
 
 
@@ -23,7 +24,7 @@ def token_count(text: Column, path: str) -> Column:
 
     def lengths(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = vocabularies.encoder(path)
-        for batch in batches:
+        for batch in tidy(batches):
             yield pa.array(encoder.lengths(batch), pa.int64())
 
     return F.arrow_udf(lengths, "bigint")(text)

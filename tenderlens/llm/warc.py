@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenderlens.llm import warc_format
-from tenderlens.llm.common import stored
+from tenderlens.llm.common import stored, tidy
 from tenderlens.sources import shared_folder
 
 _PAGE = "urn:page:"
@@ -58,7 +58,7 @@ def write_archives(
 
     def run(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         task, number = TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in tidy(batches):
             result = []
             for page, url, payload, target in zip(*(c.to_pylist() for c in batch)):
                 number += 1
@@ -87,7 +87,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         kind = pa.list_(pa.struct([
             ("origin", pa.string()), ("segment", pa.int32()), ("total", pa.int64()),
             ("fields", pa.map_(pa.string(), pa.string())), ("block", pa.binary())]))
-        for batch in batches:
+        for batch in tidy(batches):
             for content in batch:
                 found = [
                     {"origin": r.origin, "segment": r.segment, "total": r.total, "fields": list(r.fields.items()),
@@ -105,7 +105,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     )
 
     def join(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for batch in tidy(batches):
             blocks = []
             for origin, total, parts in zip(*batch):
                 numbers = [p["segment"].as_py() for p in parts]
@@ -130,7 +130,7 @@ def page_records(records: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for fields, blocks in batches:
+        for fields, blocks in tidy(batches):
             rows = []
             for field, block in zip(fields, blocks):
                 field = dict(field.as_py())
