@@ -58,7 +58,7 @@ class LanguageModel:
 
     def __post_init__(self):
         k = len(self.languages)
-        counts = np.array([*self.counts.values(), [0] * k], np.float64).reshape(-1, k) + 0.5
+        counts = np.array([*self.counts.values(), [0] * k], np.float64).reshape(len(self.counts) + 1, k) + 0.5
         self._table = np.log(counts / counts.sum(0))  # the last row is for unknown trigrams
         self._grams = dict(zip(self.counts, range(len(self.counts))))
         nobody = [True] * k
