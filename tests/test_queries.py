@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 import check
+from tenderlens.catalog import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -21,7 +22,7 @@ def con():
     return connection
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     assert check.compare(spark, con, SF_DIR, name).startswith("ok")
 
@@ -31,4 +32,4 @@ def test_flagship(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.oracle_sql())
