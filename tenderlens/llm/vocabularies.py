@@ -4,9 +4,7 @@ import functools
 import json
 import os
 
-import numpy as np
-
-from tenderlens.llm.text_pieces import Boundaries, PieceEncoder, packed
+from tenderlens.llm.text_pieces import Boundaries, PieceEncoder, SegmentEncoder, packed
 
 
 def _json_boundaries(path: str) -> Boundaries:
@@ -75,27 +73,7 @@ def byte_level(path: str):
         bytes(of_byte[c] for c in token): rank for token, rank in model["vocab"].items()
         if all(c in of_byte for c in token) and token not in _special(path)
     }
-    encoding = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    sizes = np.zeros(max(ranks.values()) + 1, np.int64)
-    for token, rank in ranks.items():
-        sizes[rank] = len(token)
-    return encoding, sizes
-
-
-def _encode_byte_level(path: str, pieces: list[str]) -> list[bytes]:
-    """Pieces that all begin with a space are encoded as one text and parted by their bytes."""
-    encoding, sizes = byte_level(path)
-    if not all(piece.startswith(" ") for piece in pieces):
-        return [packed(encoding.encode_ordinary(piece)) for piece in pieces]
-    found: list[bytes] = []
-    for at in range(0, len(pieces), 65536):
-        some = pieces[at:at + 65536]
-        ids = np.asarray(encoding.encode_ordinary("".join(some)), np.uint32)
-        ends = np.cumsum([len(piece.encode("utf-8")) for piece in some])
-        cuts = [0, *np.searchsorted(np.cumsum(sizes[ids]), ends, side="right").tolist()]
-        data = ids.tobytes()
-        found += [data[4 * a:4 * b] for a, b in zip(cuts, cuts[1:])]
-    return found
+    return tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 @functools.cache
@@ -113,21 +91,13 @@ def _boundaries(path: str) -> Boundaries:
 def encoder(path: str) -> PieceEncoder:
     """The piece encoder of a ``.json`` or ``.model`` file."""
     library(path)
-    boundaries = _boundaries(path)
-    encode = functools.partial(_encode, path)
-    if boundaries is Boundaries.LEADING and byte_level(path):
-        fast = functools.partial(_encode_byte_level, path)
-        special = _special(path)
-        encode = _unless_special(fast, encode, special)
-    return PieceEncoder(encode, boundaries, _special(path))
-
-
-def _unless_special(fast, library_encode, special: tuple[str, ...]):
-    """Single texts with special strings go to the library itself."""
+    boundaries, special = _boundaries(path), _special(path)
+    by_library = functools.partial(_encode, path)
+    ranked = byte_level(path) if boundaries is Boundaries.LEADING else None
+    if ranked is None:
+        return PieceEncoder(by_library, boundaries, special)
 
-    def encode(pieces: list[str]) -> list[bytes]:
-        if len(pieces) == 1 and any(s in pieces[0] for s in special):
-            return library_encode(pieces)
-        return fast(pieces)
+    def whole(texts: list[str]) -> list[bytes]:
+        return [packed(ranked.encode_ordinary(text)) for text in texts]
 
-    return encode
+    return SegmentEncoder(whole, boundaries, special, by_library)

@@ -1,5 +1,6 @@
 """Nulls, empty tables, repeated rows and clashing names, for every operator on documents."""
 
+import pyarrow as pa
 import pytest
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -7,7 +8,8 @@ public_tokenizers = pytest.importorskip("public_tokenizers")
 from pyspark.sql import functions as F  # noqa: E402
 
 from tenderlens.llm import (  # noqa: E402
-    byte_bpe, exact_dedup, language_id, line_dedup, nearest, packing, simhash, token_counts, url_rules, warc,
+    byte_bpe, exact_dedup, language_id, line_dedup, nearest, packing, simhash, token_counts, url_rules, vocabularies,
+    warc,
 )
 
 SCHEMA = "doc_id bigint, text string, lang string, id string, key string, row string, n_lines int"
@@ -105,3 +107,19 @@ def test_archives(spark):
     assert got == [(0, 80_000, "revisit", 2), (1, 80_000, "revisit", 2), (2, 80_000, "response", None),
                    (2, 80_000, "response", None), (3, 0, "response", None), (4, 5, "response", None), (5, 5, "response", None)]
     assert warc.round_trip(pages.limit(0)).count() == 0
+
+
+def test_segments_of_long_texts():
+    """A text that is cut to segments has the ids of the whole text, special strings included."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, encoder = Tokenizer.from_file(path), vocabularies.encoder.__wrapped__(path)
+    encoder._batch = 40
+    special = next(iter(library.get_added_tokens_decoder().values())).content
+    texts = [None, "", " ", "a" * 300, "  two  spaces " * 20, "né à l'été, it's 12345 \n\n\t x" * 15,
+             f"before {special} after " * 9, "語 の 文 " * 40, "᠎ \u0085   end " * 12]
+    expected = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    given = pa.array(texts, pa.string())
+    assert [ids.tolist() for ids in encoder.ids(given)] == expected
+    assert encoder.lengths(given) == [len(ids) for ids in expected]
