@@ -39,7 +39,7 @@ def _stage1(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _stage2(spark: SparkSession, args: argparse.Namespace) -> None:
-    tables = run_stage2(read_clean(spark, args.input, args.format))
+    tables = run_stage2(read_clean(spark, args.input, args.format, not args.single_line))
     if args.output:
         for name, table in tables.items():
             table.write.mode("overwrite").parquet(f"{args.output}/{name}")
@@ -52,7 +52,7 @@ def _stage2(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _stage3(spark: SparkSession, args: argparse.Namespace) -> None:
-    clean = read_clean(spark, args.input, args.format)
+    clean = read_clean(spark, args.input, args.format, not args.single_line)
     result = run_stage3(clean, args.model, args.test_size, args.seed, args.alpha)
     if args.output:
         for name, table in result.charts.items():
@@ -77,8 +77,6 @@ def main(arguments: list[str] | None = None) -> None:
     extract.set_defaults(run=_extract)
 
     stage1 = commands.add_parser("stage1", help="raw CSV to clean table")
-    stage1.add_argument("--single-line", action="store_true",
-                        help="no field holds a line break, so large files can be split")
     stage1.set_defaults(run=_stage1)
 
     stage2 = commands.add_parser("stage2", help="statistics of the clean table")
@@ -96,6 +94,8 @@ def main(arguments: list[str] | None = None) -> None:
         command.add_argument("--output", required=command in (extract, stage1))
     for command in (stage1, stage2, stage3):
         command.add_argument("--format", choices=("parquet", "csv"), default="parquet")
+        command.add_argument("--single-line", action="store_true",
+                             help="no CSV field holds a line break, so large files can be split")
 
     args = parser.parse_args(arguments)
     args.run(SparkSession.builder.appName("tenderlens").getOrCreate(), args)

@@ -54,7 +54,7 @@ def _automatic_bins(values: DataFrame, method: str) -> Column:
 
 
 def histogram(
-    df: DataFrame, value: str, bins: int | None = None, log: bool = False, method: str = "auto"
+    df: DataFrame, value: str, bins: int | None = None, log: bool = False, method: str = "narrow"
 ) -> DataFrame:
     """Equal-width bins ``(bin, desde, hasta, n)``, empty ones included; the last is closed.
 
@@ -96,7 +96,7 @@ def histogram(
 
 
 def log_histogram(
-    df: DataFrame, value: str = S.AWARD, bins: int | None = None, method: str = "auto"
+    df: DataFrame, value: str = S.AWARD, bins: int | None = None, method: str = "narrow"
 ) -> DataFrame:
     """Histogram of the positive values on a log axis."""
     return histogram(df, value, bins, log=True, method=method)
@@ -148,7 +148,7 @@ def density_curve(
     )
 
 
-def reference_lines(df: DataFrame, value: str = S.AWARD, method: str = "auto") -> DataFrame:
+def reference_lines(df: DataFrame, value: str = S.AWARD, method: str = "narrow") -> DataFrame:
     """One row: mean and median of the column."""
     amount = number_column(df, value)
     median = exact_quantiles(df, amount, {"mediana": 0.5}, method=method).scalar()
@@ -176,7 +176,7 @@ def _boxes(
 
 def boxplot_by_group(
     df: DataFrame, value: str = S.AWARD, key: str = S.MODALITY, k: float = 1.5,
-    method: str = "auto",
+    method: str = "narrow",
 ) -> DataFrame:
     """Box, mean, whiskers and number of fliers per group, highest median first.
 
@@ -201,7 +201,7 @@ def boxplot_by_group(
 
 def boxplot_fliers(
     df: DataFrame, value: str = S.AWARD, key: str = S.MODALITY, k: float = 1.5,
-    method: str = "auto",
+    method: str = "narrow",
 ) -> DataFrame:
     """The rows beyond the fences of their own group."""
     rows, _ = _boxes(df, value, key, k, method)
@@ -339,7 +339,7 @@ def risk_alerts_by_error(
 
 
 def risk_axis(
-    predictions: DataFrame, predicted: str = "predicho", method: str = "auto"
+    predictions: DataFrame, predicted: str = "predicho", method: str = "narrow"
 ) -> DataFrame:
     """One row: upper end of both axes in millions."""
     top = exact_quantiles(

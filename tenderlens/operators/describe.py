@@ -79,7 +79,7 @@ def smallest_mode(counts: DataFrame) -> DataFrame:
 
 
 def central_tendency(
-    df: DataFrame, columns: Sequence[str] = tuple(S.STATISTICS_COLUMNS), method: str = "auto"
+    df: DataFrame, columns: Sequence[str] = tuple(S.STATISTICS_COLUMNS), method: str = "narrow"
 ) -> DataFrame:
     """Mean, median, mode, adjusted skewness and the distance between mean and median."""
     present = [c for c in columns if c in df.columns]
@@ -109,7 +109,7 @@ def central_tendency(
 
 
 def dispersion(
-    df: DataFrame, columns: Sequence[str] = tuple(S.STATISTICS_COLUMNS), method: str = "auto"
+    df: DataFrame, columns: Sequence[str] = tuple(S.STATISTICS_COLUMNS), method: str = "narrow"
 ) -> DataFrame:
     """Standard deviation, variance, range, quartiles and coefficient of variation."""
     present = [c for c in columns if c in df.columns]

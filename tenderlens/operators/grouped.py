@@ -16,7 +16,7 @@ def _share_of(df: DataFrame, part: Column) -> Column:
 
 
 def dispersion_by_group(
-    df: DataFrame, value: str = S.AWARD, key: str = S.MODALITY, method: str = "auto"
+    df: DataFrame, value: str = S.AWARD, key: str = S.MODALITY, method: str = "narrow"
 ) -> DataFrame:
     """Count, mean, quartiles and spread of ``value`` per group, largest group first.
 
@@ -48,7 +48,7 @@ def competition_contrast(
     flag: str = S.OVERCOST_FLAG,
     id_column: str = S.ID,
     duration: str = S.DURATION_DAYS,
-    method: str = "auto",
+    method: str = "narrow",
 ) -> DataFrame:
     """Contracts, typical amount, overrun rate and duration per band of competition."""
     rows = df.select(

@@ -17,7 +17,7 @@ INFO_COLUMNS = [
 ]
 
 
-def tukey_bounds(df: DataFrame, value: str, k: float = 1.5, method: str = "auto") -> DataFrame:
+def tukey_bounds(df: DataFrame, value: str, k: float = 1.5, method: str = "narrow") -> DataFrame:
     """One row: quartiles, interquartile range and both fences.  No row without values."""
     quartiles = exact_quantiles(
         df, number_column(df, value), {"q1": 0.25, "q3": 0.75}, method=method
@@ -37,7 +37,7 @@ def _as_scalar(bounds: DataFrame) -> Column:
 
 def tukey_flags(
     df: DataFrame, value: str, k: float = 1.5, bounds: DataFrame | None = None,
-    method: str = "auto",
+    method: str = "narrow",
 ) -> DataFrame:
     """Every row with its outlier marks; missing values are no outliers."""
     fence = _as_scalar(bounds if bounds is not None else tukey_bounds(df, value, k, method))
@@ -52,7 +52,7 @@ def tukey_flags(
 
 def tukey_summary(
     df: DataFrame, value: str, k: float = 1.5, bounds: DataFrame | None = None,
-    method: str = "auto",
+    method: str = "narrow",
 ) -> DataFrame:
     """One row: the fences and how many values lie beyond them."""
     bounds = bounds if bounds is not None else tukey_bounds(df, value, k, method)
@@ -81,7 +81,7 @@ def top_outliers(
     info_columns: Sequence[str] = tuple(INFO_COLUMNS),
     tie_break: Sequence[str] = (S.ID,),
     bounds: DataFrame | None = None,
-    method: str = "auto",
+    method: str = "narrow",
 ) -> DataFrame:
     """The ``top_n`` largest upper outliers with their context, largest first."""
     bounds = bounds if bounds is not None else tukey_bounds(df, value, k, method)

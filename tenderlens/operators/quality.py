@@ -106,7 +106,7 @@ def retention(raw: DataFrame, clean: DataFrame) -> DataFrame:
 
 
 def describe_numeric(
-    df: DataFrame, columns: Sequence[str] = tuple(S.DESCRIBED_COLUMNS), method: str = "auto"
+    df: DataFrame, columns: Sequence[str] = tuple(S.DESCRIBED_COLUMNS), method: str = "narrow"
 ) -> DataFrame:
     """Count, mean, standard deviation, extremes and exact median of every column."""
     present = [c for c in columns if c in df.columns]

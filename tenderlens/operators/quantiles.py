@@ -1,8 +1,8 @@
 """Exact quantiles without gathering a group in one task.
 
 ``percentile`` and ``median`` keep a map of every distinct value of a group in
-one buffer.  That is the fastest plan for small tables and fails for large ones,
-so larger inputs are settled by narrowing ranks down in counted steps:
+one buffer, which fails for a large group.  So ranks are narrowed down in counted
+steps, at every size of the table:
 
 1. count rows per group and coarse bucket; a bucket is a range of values of equal
    relative width, so the counts stay few however many rows there are;
@@ -24,10 +24,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Inputs whose estimated size stays below this use the one-pass aggregate.  Both ways take
-# about as long at this size; above it the buffer only gets slower and larger.
-SMALL_INPUT_BYTES = 4 * 1024 * 1024
-
 # Targets of at most this many groups are broadcast to the second scan.
 MAX_BROADCAST_GROUPS = 20_000
 
@@ -39,14 +35,6 @@ _OFFSET = 800.0  # above the natural logarithm of any double, in size
 _VALUE, _COUNT, _BUCKET, _FINE_BUCKET, _WANTED = "_v", "_n", "_b", "_s", "_w"
 
 
-def is_small(df: DataFrame) -> bool:
-    """Whether the optimizer's size estimate proves ``df`` small."""
-    plan = getattr(df, "_jdf", None)
-    if plan is None:  # a remote session offers no estimate
-        return False
-    return int(plan.queryExecution().optimizedPlan().stats().sizeInBytes()) <= SMALL_INPUT_BYTES
-
-
 def few_groups(df: DataFrame, keys: Sequence[str]) -> bool:
     """Whether ``df`` has few enough groups to broadcast one small row per group and rank.
 
@@ -154,20 +142,19 @@ def exact_quantiles(
     points: Mapping[str, float],
     keys: Sequence[str] = (),
     weight: Column | None = None,
-    method: str = "auto",
+    method: str = "narrow",
     groups_bounded: bool = False,
 ) -> DataFrame:
     """Linearly interpolated quantiles of ``value`` per group of ``keys``.
 
     ``points`` maps output columns to probabilities.  Rows with a missing value or
     key are skipped, so a group without values has no row.  ``weight`` counts a row
-    several times.  ``method``: ``aggregate`` (one buffer per group), ``narrow`` (see
-    the module text), ``approx`` (``percentile_approx``) or ``auto``, which takes
-    ``aggregate`` only where the optimizer proves the input small.
+    several times.  ``method``: ``narrow`` (see the module text), ``aggregate`` (one
+    buffer per group, for groups that fit one) or ``approx`` (``percentile_approx``).
     ``groups_bounded`` states that the keys have few values by construction, which
     saves the check before the ranks are broadcast.
     """
-    if method not in {"auto", "aggregate", "narrow", "approx"}:
+    if method not in {"aggregate", "narrow", "approx"}:
         raise ValueError(f"Unknown quantile method: '{method}'")
     keys = list(keys)
     named = keys or ["_all"]
@@ -181,8 +168,6 @@ def exact_quantiles(
     values = values.where(is_present(F.col(_VALUE)))
     names, probabilities = list(points), list(points.values())
 
-    if method == "auto":
-        method = "aggregate" if is_small(values) else "narrow"
     if method != "narrow":
         probe = F.array(*[F.lit(float(p)) for p in probabilities])
         if method == "approx":

@@ -15,7 +15,7 @@ def _settled(row: DataFrame) -> DataFrame:
     return row.sparkSession.createDataFrame(row.take(1), row.schema)
 
 
-def run_stage2(clean: DataFrame, method: str = "auto") -> dict[str, DataFrame]:
+def run_stage2(clean: DataFrame, method: str = "narrow") -> dict[str, DataFrame]:
     """Result tables by name, each lazy and reading only the columns it needs.
 
     The fences of both variables are five numbers each; they are computed up front and

@@ -25,7 +25,7 @@ class Stage3Result:
     charts: dict[str, DataFrame]
 
 
-def executive_summary(clean: DataFrame, predictions: DataFrame, method: str = "auto") -> dict[str, DataFrame]:
+def executive_summary(clean: DataFrame, predictions: DataFrame, method: str = "narrow") -> dict[str, DataFrame]:
     """The tables of the four-panel summary."""
     return {
         "price_density": charts.density_curve(clean, S.PRICE),

@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from tenderlens import schema as S
 from tenderlens.functions import exceeds, parse_iso_date
-from tenderlens.operators.quantiles import is_small
 
 # Defaults of the extract.
 REGION, CONTRACT_TYPE, LIMIT = "Cundinamarca", "Obra", 10_000
@@ -45,15 +44,15 @@ def extract_contracts(
     limit: int = LIMIT,
     columns: Sequence[str] = tuple(S.RAW_COLUMNS),
     tie_break: Sequence[str] = (S.ID,),
-    method: str = "auto",
+    method: str = "cutoff",
 ) -> DataFrame:
     """The newest ``limit`` contracts of a region and type with a positive award.
 
     Equality is exact.  Filters and columns reach the scan, and the limit is a top-k
-    per task, so nothing is sorted as a whole.  ``method``: ``direct``, ``cutoff``
-    (drop days that cannot matter first) or ``auto``, by the size of the table.
+    per task, so nothing is sorted as a whole.  ``method``: ``cutoff`` (drop days that
+    cannot matter first) or ``direct``, which saves a scan where few rows match.
     """
-    if method not in {"auto", "direct", "cutoff"}:
+    if method not in {"direct", "cutoff"}:
         raise ValueError(f"Unknown extract method: '{method}'")
     rows = df.where(
         (F.col(S.REGION) == region)
@@ -61,7 +60,7 @@ def extract_contracts(
         & exceeds(df, S.AWARD, 0)
     )
     moment = _moment(df, S.PUBLISHED)
-    if method == "cutoff" or (method == "auto" and not is_small(df)):
+    if method == "cutoff":
         rows = _recent(rows, F.to_date(moment), limit)
     newest = [moment.desc_nulls_last(), *[F.col(c) for c in tie_break]]
     return rows.orderBy(*newest).limit(limit).select(*columns)
