@@ -2,7 +2,7 @@
 
 import ctypes
 import string
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import TypeVar
 
 import pyarrow as pa
@@ -58,6 +58,15 @@ def block(blocks: Column, *key: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit(17), *key), blocks).cast("int")
 
 
+def arrow_function(run: Callable, kind: str) -> Callable[..., Column]:
+    """An Arrow function that a plan evaluates once for each row.
+
+    Spark copies a deterministic one into every filter that it moves below it, also into those
+    that ``explode`` brings along, and so would start a second worker that does the work again.
+    """
+    return F.arrow_udf(run, kind).asNondeterministic()
+
+
 _Batch = TypeVar("_Batch")
 
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenderlens.llm.common import stored, tidy
+from tenderlens.llm.common import arrow_function, stored, tidy
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -95,7 +95,7 @@ def _variants(candidates: DataFrame) -> DataFrame:
             flat = np.concatenate(found) if found else np.zeros(0, np.uint64)
             yield pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.array(flat.view(np.int64)))
 
-    hashes = F.arrow_udf(run, "array<bigint>")(F.col("line"))
+    hashes = arrow_function(run, "array<bigint>")(F.col("line"))
     return candidates.select("c", hashes.alias("hashes")).select(
         "c", F.posexplode("hashes").alias("i", "v")
     ).select("v", (F.col("i") - 1).alias("p"), "c")
@@ -148,7 +148,7 @@ def _without(text: Column, stay: Column) -> Column:
                 ["left", "n_lines", "n_removed"],
             )
 
-    return F.arrow_udf(run, "struct<left:string,n_lines:bigint,n_removed:bigint>")(text, stay)
+    return arrow_function(run, "struct<left:string,n_lines:bigint,n_removed:bigint>")(text, stay)
 
 
 def dedup_lines(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
@@ -201,4 +201,4 @@ def _chosen(text: Column, places: Column) -> Column:
             rows = pa.StructArray.from_arrays([pa.array(n, pa.int32()), pa.array(found, pa.string())], ["n", "line"])
             yield pa.ListArray.from_arrays(pa.array(counts, pa.int32()), rows)
 
-    return F.arrow_udf(run, "array<struct<n:int,line:string>>")(text, places)
+    return arrow_function(run, "array<struct<n:int,line:string>>")(text, places)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenderlens.llm import packing_plan, vocabularies
-from tenderlens.llm.common import block, blocks_of, stored, tidy
+from tenderlens.llm.common import arrow_function, block, blocks_of, stored, tidy
 
 _BLOCK = 8192
 
@@ -50,7 +50,7 @@ def cut_pieces(
             yield pa.ListArray.from_arrays(pa.array(counts, pa.int32()), rows)
 
     kind = "array<struct<start:bigint,length:bigint,ids_crc32:bigint>>"
-    cut = docs.select(F.struct(*keep).alias("kept"), F.arrow_udf(pieces, kind)(F.col(text)).alias("cut"))
+    cut = docs.select(F.struct(*keep).alias("kept"), arrow_function(pieces, kind)(F.col(text)).alias("cut"))
     return cut.select("kept", F.posexplode("cut").alias("piece", "at")).select("kept.*", "piece", "at.*")
 
 
@@ -96,7 +96,7 @@ def assign(pieces: DataFrame, capacity: int = 2048, rounds: int = 300) -> DataFr
                 [pa.array(sequence, pa.int64()), pa.array(slots.offset[at], pa.int64())], ["sequence_id", "offset"]
             )
 
-    place = F.arrow_udf(places, "struct<sequence_id:bigint,offset:bigint>")
+    place = arrow_function(places, "struct<sequence_id:bigint,offset:bigint>")
     return ranked.select("row", place("row.length", "rank").alias("place")).select("row.*", "place.*")
 
 
