@@ -54,17 +54,18 @@ def cut_pieces(
     return cut.select("kept", F.posexplode("cut").alias("piece", "at")).select("kept.*", "piece", "at.*")
 
 
-def assign(pieces: DataFrame, capacity: int = 2048, rounds: int = 300) -> DataFrame:
+def assign(pieces: DataFrame, capacity: int = 2048, tolerance: float = 0.02) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``; no sequence holds more than ``capacity``.
 
     ``pieces`` is a stored table with a column ``length`` from 1 to ``capacity``.  Sequence
-    numbers have no gaps.  Equal rows are interchangeable; no rows give no sequences.
+    numbers have no gaps.  Equal rows are interchangeable; no rows give no sequences.  At most
+    ``tolerance`` of the tokens are packed best fit, the others by the configuration program.
     """
     spark = pieces.sparkSession
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     if not histogram:
         return pieces.withColumns({"sequence_id": F.lit(0).cast("bigint"), "offset": F.lit(0).cast("bigint")})
-    slots = packing_plan.plan(histogram, capacity, rounds)
+    slots = packing_plan.plan(histogram, capacity, tolerance)
 
     # One row per length, so at most ``capacity`` rows.
     blocks = spark.createDataFrame(
@@ -101,7 +102,7 @@ def assign(pieces: DataFrame, capacity: int = 2048, rounds: int = 300) -> DataFr
 
 
 def pack(
-    docs: DataFrame, path: str, capacity: int = 2048, rounds: int = 300, text: str = "text",
+    docs: DataFrame, path: str, capacity: int = 2048, tolerance: float = 0.02, text: str = "text",
     keep: tuple[str, ...] = ("doc_id",),
 ) -> DataFrame:
     """Pieces of all documents with their sequence and place in it.
@@ -110,4 +111,4 @@ def pack(
     of ``docs`` beyond ``keep`` and ``text`` are not read, whatever their names.
     """
     pieces = stored(cut_pieces(docs, path, capacity, 0, text, keep))
-    return assign(pieces, capacity, rounds)
+    return assign(pieces, capacity, tolerance)

@@ -4,9 +4,10 @@ The configuration program has a variable for every way to fill a sequence: use a
 sequences as possible so that every length is covered as often as it occurs.  It is solved by
 multiplicative weights.  Every round prices a length by its share of a sequence times a
 weight that falls exponentially with the part of its demand that is covered, finds the most
-valuable sequence by a knapsack dynamic program and uses it for a part of the demand.
-Rounding keeps whole uses that the demand allows; what is left is packed best fit, longest first,
-on counts.  All work depends on the capacity alone, not on the number of documents.
+valuable sequence of the pieces that are left by a knapsack dynamic program and uses it a whole
+number of times, for a small part of the demand.  It ends when all tokens but a stated share are
+covered; these are packed best fit, longest first, on counts.  All work depends on the capacity
+alone, not on the number of documents.
 """
 
 import bisect
@@ -25,6 +26,7 @@ class Slots:
     sequence: np.ndarray
     offset: np.ndarray
     sequences: int
+    best_fit_tokens: int  # that the configuration program left
 
 
 def best_sequence(price: np.ndarray, capacity: int) -> list[int]:
@@ -52,27 +54,47 @@ def best_sequence(price: np.ndarray, capacity: int) -> list[int]:
     return lengths
 
 
+def bounded_sequence(price: np.ndarray, left: np.ndarray, capacity: int) -> list[int]:
+    """As ``best_sequence``, with at most ``left[l]`` pieces of length l.
+
+    A length that the best sequence has too often is kept as often as it can be, and the room beside it
+    is filled again without it.
+    """
+    price, kept, room = price.copy(), [], capacity
+    while room:
+        lengths = best_sequence(price[:room + 1], room)
+        over = max((l for l in set(lengths) if lengths.count(l) > left[l]), default=0)
+        if not over:
+            return kept + lengths
+        kept += [over] * int(left[over])
+        room -= over * int(left[over])
+        price[over] = -np.inf
+    return kept
+
+
 def solve_weights(
-    demand: np.ndarray, capacity: int, rounds: int, rate: float
-) -> list[tuple[dict[int, int], float]]:
-    """Fractional uses of configurations: the covering program by multiplicative weights."""
-    share = np.arange(capacity + 1) / capacity
-    covered = np.zeros(capacity + 1)
-    present = demand > 0
-    uses: dict[tuple[int, ...], float] = {}
-    for _ in range(rounds):
-        part = np.divide(covered, demand, out=np.ones(capacity + 1), where=present)
-        if (part[present] >= 1).all():
-            break
-        weight = np.exp(-rate * part)
-        price = np.where(present & (part < 1), share * weight, -np.inf)
-        lengths = best_sequence(price, capacity)
+    demand: np.ndarray, capacity: int, tolerance: float, step: float, rate: float
+) -> list[tuple[dict[int, int], int]]:
+    """Whole uses of configurations: the covering program by multiplicative weights.
+
+    At most ``tolerance`` of the tokens stay uncovered and nothing is covered twice.  A round
+    covers at most ``step`` of a length's demand, or one use of its sequence.
+    """
+    size = np.arange(capacity + 1)
+    share = size / capacity  # long pieces gain a little more, so short ones stay to fill gaps
+    left, present = demand.copy(), demand > 0
+    most_left = tolerance * int((demand * size).sum())
+    uses: dict[tuple[int, ...], int] = {}
+    while (left * size).sum() > most_left:
+        part = np.divide(demand - left, demand, out=np.ones(capacity + 1), where=present)
+        price = np.where(left > 0, share * (1 + 0.1 * share) * np.exp(-rate * part), -np.inf)
+        lengths = bounded_sequence(price, left, capacity)
         need = {l: lengths.count(l) for l in set(lengths)}
-        step = min((demand[l] - covered[l]) / n for l, n in need.items())
+        number = min(min(int(left[l]) // n, max(1, int(step * demand[l] / n))) for l, n in need.items())
         for l, n in need.items():
-            covered[l] += n * step
+            left[l] -= n * number
         key = tuple(sorted(lengths, reverse=True))
-        uses[key] = uses.get(key, 0.0) + step
+        uses[key] = uses.get(key, 0) + number
     return [({l: key.count(l) for l in set(key)}, x) for key, x in uses.items()]
 
 
@@ -106,11 +128,12 @@ class _Builder:
 
 
 def plan(
-    histogram: dict[int, int], capacity: int = 2048, rounds: int = 300, rate: float = 4.0
+    histogram: dict[int, int], capacity: int = 2048, tolerance: float = 0.02, step: float = 0.25, rate: float = 0.2
 ) -> Slots:
     """Slots for all pieces of a histogram of lengths from 1 to ``capacity``.
 
-    ``rounds`` bounds the pricing rounds.  No length gives no sequences.
+    The configuration program places all tokens but a share of ``tolerance`` at most, in steps of
+    ``step`` of a length's demand.  No length gives no sequences.
     """
     demand = np.zeros(capacity + 1, np.int64)
     for length, number in histogram.items():
@@ -121,20 +144,18 @@ def plan(
     full = int(demand[capacity])
     if full:
         build.fill(capacity, build.open(full, 0), full, 0)
-    solution = solve_weights(build.left.astype(float), capacity, rounds, rate)
-    for content, use in sorted(solution, key=lambda x: -x[1]):
-        number = min([int(use + 0.5), *(int(build.left[l]) // n for l, n in content.items())])
-        if number < 1:
-            continue
+    solution = solve_weights(build.left.copy(), capacity, tolerance, step, rate)
+    for content, number in sorted(solution, key=lambda x: -x[1]):
         first, offset = build.open(number, 0), 0
         for length in sorted(content, reverse=True):
             for _ in range(content[length]):
                 build.fill(length, first, number, offset)
                 offset += length
         build.keep(capacity - offset, first, number)
+    rest = int((build.left * np.arange(capacity + 1)).sum())
     _best_fit(build, capacity)
     rows = np.array(sorted(build.rows), np.int64).reshape(-1, 4)
-    return Slots(rows[:, 0], rows[:, 1], rows[:, 2], rows[:, 3], build.sequences)
+    return Slots(rows[:, 0], rows[:, 1], rows[:, 2], rows[:, 3], build.sequences, rest)
 
 
 def _best_fit(build: _Builder, capacity: int) -> None:

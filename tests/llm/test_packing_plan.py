@@ -1,0 +1,53 @@
+"""The configuration program places nearly all tokens, whatever the number of lengths."""
+
+import collections
+
+import numpy as np
+import pytest
+
+from tenderlens.llm import packing_plan
+
+
+@pytest.mark.parametrize("copies", [3, 90])
+def test_program_covers_the_histogram(monkeypatch, copies):
+    capacity, draw = 512, np.random.default_rng(1)
+    lengths = draw.permutation(np.arange(1, capacity + 1))[:450]
+    histogram = {int(l): int(n) for l, n in zip(lengths, draw.integers(1, 2 * copies, 450))}
+    left = []
+    best_fit = packing_plan._best_fit
+
+    def spy(build, capacity):
+        left.append(int((build.left * np.arange(capacity + 1)).sum()))
+        best_fit(build, capacity)
+
+    monkeypatch.setattr(packing_plan, "_best_fit", spy)
+    slots = packing_plan.plan(histogram, capacity)
+    tokens = sum(l * n for l, n in histogram.items())
+    assert left[0] <= 0.02 * tokens and left[0] == slots.best_fit_tokens
+    assert slots.sequences <= -(-tokens // capacity) * 1.02 + 1  # half of the lengths are over half of a sequence
+
+    places = collections.defaultdict(list)
+    entries = collections.defaultdict(list)
+    for length, rank, sequence, offset in zip(slots.length, slots.rank, slots.sequence, slots.offset):
+        entries[int(length)].append((int(rank), int(sequence), int(offset)))
+    for length, n in histogram.items():
+        own = sorted(entries[length])
+        assert own[0][0] == 0
+        for (rank, sequence, offset), after in zip(own, [r[0] for r in own[1:]] + [n]):
+            for i in range(after - rank):
+                places[sequence + i].append((offset, length))
+    assert sorted(places) == list(range(slots.sequences))
+    for pieces in places.values():
+        end = 0
+        for offset, length in sorted(pieces):
+            assert offset == end
+            end += length
+        assert end <= capacity
+
+
+def test_no_length_is_used_too_often():
+    price = np.full(101, -np.inf)
+    price[[30, 20, 7]] = [30.0, 19.0, 1.0]
+    left = np.zeros(101, int)
+    left[[30, 20, 7]] = [2, 1, 9]
+    assert sorted(packing_plan.bounded_sequence(price, left, 100)) == [7, 7, 20, 30, 30]
