@@ -91,8 +91,18 @@ def standardize(df: DataFrame, columns: Sequence[str] = tuple(NUMERIC_FEATURES))
     return df.withColumns(scaled)
 
 
-def _category_stages(train: DataFrame, column: str) -> tuple[list, list[str]]:
-    """Fitted stages that encode ``column`` without its first category, and their names."""
+def _refuse_above_limit(width: int) -> None:
+    if width > _NORMAL_SOLVER_FEATURES:
+        raise ValueError(f"{width} features; the normal equations take {_NORMAL_SOLVER_FEATURES} at most")
+
+
+def _category_stages(train: DataFrame, column: str, others: int = 0) -> tuple[list, list[str]]:
+    """Fitted stages that encode ``column`` without its first category, and their names.
+
+    With ``others`` features beside them.  Too many are refused before any category goes to the driver.
+    """
+    categories = train.where(F.col(column).isNotNull()).select(column).distinct().count()
+    _refuse_above_limit(others + max(categories - 1, 0))
     indexer = StringIndexer(
         inputCol=column, outputCol=f"{column}_index",
         stringOrderType="alphabetAsc", handleInvalid="keep",
@@ -136,10 +146,11 @@ def build_preprocessor(
         inputCol="num_sample", outputCol="num_vec",
         scalingVec=Vectors.dense([math.sqrt(n / (n - 1)) if n > 1 else 1.0] * len(numeric)),
     )
-    stages, vectors = [numbers, scaler, to_population], ["num_vec"]
+    stages, vectors, width = [numbers, scaler, to_population], ["num_vec"], len(numeric)
     for column in categorical:
-        encoding, kept = _category_stages(train, column)
+        encoding, kept = _category_stages(train, column, width)
         stages += encoding
+        width += len(kept)
         vectors += [f"{column}_vec"] if kept else []
     stages.append(VectorAssembler(inputCols=vectors, outputCol="features"))
     return PipelineModel(stages)
@@ -179,9 +190,7 @@ def fit_model(
         raise ValueError(f"{facts['incomplete']} training rows have a missing feature or label")
 
     preprocessor = build_preprocessor(train, numeric, categorical, facts["n"])
-    width = len(feature_names(preprocessor))
-    if width > _NORMAL_SOLVER_FEATURES:
-        raise ValueError(f"{width} features; the normal equations take {_NORMAL_SOLVER_FEATURES} at most")
+    _refuse_above_limit(len(feature_names(preprocessor)))
     # The estimator minimises the mean error on a label scaled by its deviation, hence
     # the factor between its penalty and ``alpha``.
     regressor = LinearRegression(
