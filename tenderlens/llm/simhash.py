@@ -150,7 +150,13 @@ def near_duplicates(
     named by its smallest id.  Rows with a NULL id take part, and a component of such rows alone has
     no name.  Repeated rows stay.  Other columns are not read.
     """
-    rows = stored(docs.select(F.col(id_column).alias("id"), fingerprint(F.col(text), size).alias("fp")))
+    return _grouped(docs, size, radius, text, id_column).select("id", "fp", "component_id")
+
+
+def _grouped(docs: DataFrame, size: int, radius: int, text: str, id_column: str) -> DataFrame:
+    """As ``near_duplicates``, with a hash ``th`` of the text and the component's fingerprint ``of``."""
+    rows = stored(docs.select(F.col(id_column).alias("id"), F.xxhash64(text).alias("th"),
+                              fingerprint(F.col(text), size).alias("fp")))
     values = stored(rows.groupBy("fp").agg(F.min("id").alias("first")))
     linked = components(links(values, radius))
     rooted = stored(values.join(linked, F.col("fp") == F.col("node"), "left").select(
@@ -158,8 +164,8 @@ def near_duplicates(
     ))
     names = stored(rooted.groupBy("root").agg(F.min("first").alias("component_id")))
     named = stored(rooted.select("fp", F.col("root").alias("of")).join(names, F.col("of") == F.col("root"))
-                   .select(F.col("fp").alias("of"), "component_id"))
-    return rows.join(named, F.col("fp") == F.col("of")).select("id", "fp", "component_id")
+                   .select(F.col("fp").alias("nfp"), "of", "component_id"))
+    return rows.join(named, F.col("fp") == F.col("nfp")).select("id", "th", "fp", "of", "component_id")
 
 
 def one_of_each(
@@ -167,13 +173,14 @@ def one_of_each(
 ) -> DataFrame:
     """The rows of ``docs`` that stay when one document of each near-duplicate group stays.
 
-    That is the one with the smallest id; of rows that repeat this id, the one whose text has the
+    That is the one with the smallest id; of rows of the group that repeat this id, the one whose text has the
     least hash.  Rows with a NULL id stay, since nothing names them.
     """
-    found = near_duplicates(docs, size, radius, text, id_column)
-    stay = stored(found.where(F.col("id") == F.col("component_id")).select(F.col("id").alias("stay")).distinct())
+    found = _grouped(docs, size, radius, text, id_column).where("id is not null")
+    stay = stored(found.groupBy("of").agg(F.min(F.struct("id", "th")).alias("stay")).select("stay.*"))
     rows = docs.select(F.struct("*").alias("row"))
-    kept = rows.join(stay, F.col(f"row.{id_column}") == F.col("stay"), "left_semi")
-    first = Window.partitionBy(F.col(f"row.{id_column}")).orderBy(F.xxhash64(f"row.{text}"), F.col(f"row.{text}"))
+    own_id, own_hash = F.col(f"row.{id_column}"), F.xxhash64(f"row.{text}")
+    kept = rows.join(stay, (own_id == F.col("id")) & (own_hash == F.col("th")), "left_semi")
+    first = Window.partitionBy(own_id, own_hash).orderBy(F.col(f"row.{text}"))
     kept = kept.select("row", F.row_number().over(first).alias("n")).where("n = 1").select("row.*")
     return kept.union(docs.where(F.col(id_column).isNull()))
