@@ -43,9 +43,9 @@ def fit(
     return language_model.fit_counts([tuple(r) for r in rows.collect()], penalty)
 
 
-def _batches(batch: pa.Array, size: int = 256) -> Iterator[list[str]]:
+def _batches(batch: pa.Array, size: int = 256) -> Iterator[pa.Array]:
     for start in range(0, len(batch), size):
-        yield [t or "" for t in batch.slice(start, size).to_pylist()]
+        yield batch.slice(start, size)
 
 
 def predict(text: Column, model: LanguageModel) -> Column:

@@ -12,6 +12,8 @@ from collections import defaultdict
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # First code points of runs of letters, by Unicode block, and their script.
 SCRIPT_STARTS = [
@@ -23,7 +25,7 @@ SCRIPT_STARTS = [
     (0xF900, "Han"), (0xFB00, "Other"), (0x20000, "Han"), (0x30000, "Other"),
 ]
 _POINTS = [point for point, _ in SCRIPT_STARTS]
-_LETTERS = re.compile(r"[^\W\d_]+")
+_NO_LETTERS = re.compile(r"[^\w\n]+|[\d_]+")
 
 
 def script_of(letter: str) -> str:
@@ -31,9 +33,26 @@ def script_of(letter: str) -> str:
     return SCRIPT_STARTS[bisect.bisect_right(_POINTS, ord(letter)) - 1][1]
 
 
-def letters_of(piece: str) -> list[str]:
-    """The runs of letters of a piece, in lower case."""
-    return _LETTERS.findall(piece.lower())
+def letters_of(pieces: list[str]) -> list[list[str]]:
+    """The runs of letters of each piece, in lower case; numerals such as fractions are no letters.
+
+    Pieces hold no white space, so a line break can part them and one search serves all.
+    """
+    text = _NO_LETTERS.sub(" ", "\n".join(pieces).lower())
+    letters = text.replace(" ", "").replace("\n", "")
+    if letters and not letters.isalpha():
+        text = "".join(c if c.isalpha() or c == "\n" else " " for c in text)
+    return list(map(str.split, text.split("\n")))
+
+
+def _points_of(text: str) -> np.ndarray:
+    """The code points of a text."""
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+
+
+def _code(points: np.ndarray) -> np.ndarray:
+    """The trigram that starts at each place as one integer; a code point has 21 bits."""
+    return (points[:-2] << 42) | (points[1:-1] << 21) | points[2:]
 
 
 @dataclass
@@ -58,34 +77,42 @@ class LanguageModel:
 
     def __post_init__(self):
         k = len(self.languages)
+        codes = _code(_points_of("".join(self.counts) + "  "))[::3][:len(self.counts)]
+        order = np.argsort(codes)
         counts = np.array([*self.counts.values(), [0] * k], np.float64).reshape(len(self.counts) + 1, k) + 0.5
-        self._table = np.log(counts / counts.sum(0))  # the last row is for unknown trigrams
-        self._grams = dict(zip(self.counts, range(len(self.counts))))
-        nobody = [True] * k
-        self._writers = {name: row if any(row) else nobody for name, row in self.scripts.items()}
+        table = np.log(counts / counts.sum(0))
+        self._codes = codes[order]
+        self._table = np.concatenate([table[order], table[-1:]])  # the last row is for unknown trigrams
+        # Who may write the letters from each start of SCRIPT_STARTS on; nobody's scripts rule nobody out.
+        writers = [self.scripts.get(name, []) for _, name in SCRIPT_STARTS]
+        self._known = np.array([name in self.scripts for _, name in SCRIPT_STARTS])
+        self._allowed = np.array([row if any(row) else [True] * k for row in writers]).reshape(len(writers), k)
 
     def words(self, words: list[str]) -> np.ndarray:
         """Scores of words, the best language's being zero; languages of other scripts lose.
 
         A script that no language writes gives zeros, so the neighbours decide.
         """
-        k, unknown = len(self.languages), len(self._grams)
+        k = len(self.languages)
         if not words or not k:
             return np.zeros((len(words), k))
-        padded = [f" {word} " for word in words]
+        points = _points_of(f" {'  '.join(words)} ")
         sizes = np.fromiter(map(len, words), np.int64, len(words))
-        grams = (self._grams.get(word[i:i + 3], unknown) for word in padded for i in range(len(word) - 2))
-        rows = self._table[np.fromiter(grams, np.int64, int(sizes.sum()))]
-        score = np.add.reduceat(rows, np.cumsum(sizes) - sizes, axis=0)
-        scripts = [script_of(word[0]) for word in words]
-        known = np.array([script in self._writers for script in scripts])
-        allowed = np.array([self._writers.get(script, [True] * k) for script in scripts])
-        score = np.where(allowed, score, -np.inf)
+        starts = np.cumsum(sizes + 2) - (sizes + 2)  # of the words with a blank on both sides
+        ends = np.cumsum(sizes)
+        inside = np.arange(ends[-1]) + np.repeat(starts - (ends - sizes), sizes)
+        codes = _code(points)[inside]
+        rows = np.searchsorted(self._codes, codes)
+        if len(self._codes):
+            rows = np.where(self._codes[np.minimum(rows, len(self._codes) - 1)] == codes, rows, len(self._codes))
+        score = np.add.reduceat(self._table[rows], ends - sizes, axis=0)
+        scripts = np.searchsorted(_POINTS, points[starts + 1], side="right") - 1
+        score = np.where(self._allowed[scripts], score, -np.inf)
         score = np.maximum(score - score.max(axis=1, keepdims=True), -20.0)
-        return np.where(known[:, None], score, 0.0)
+        return np.where(self._known[scripts][:, None], score, 0.0)
 
     def _learn(self, pieces: list[str]) -> None:
-        found = [letters_of(piece) for piece in pieces]
+        found = letters_of(pieces) if pieces else []
         counts = np.fromiter(map(len, found), np.int64, len(found))
         ends = np.cumsum(counts)
         words = [word for some in found for word in some]
@@ -98,16 +125,27 @@ class LanguageModel:
         self._scores = rows if self._scores is None or not start else np.concatenate([self._scores, rows])
         self._sizes = sizes if self._sizes is None or not start else np.concatenate([self._sizes, sizes])
 
-    def look_up(self, texts: list[str]) -> list[np.ndarray]:
+    def _forget(self) -> None:
+        """Drop the older half of the pieces."""
+        half = len(self._index) // 2
+        self._index = {piece: row - half for piece, row in self._index.items() if row >= half}
+        self._scores, self._sizes = self._scores[half:].copy(), self._sizes[half:].copy()
+
+    def look_up(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
         """The row numbers of every text's pieces in ``scores`` and ``sizes``."""
         if len(self._index) > self.remember:
-            self._index, self._scores, self._sizes = {}, None, None
-        cut = [text.split() for text in texts]
-        known = self._index
-        missing = list({p for pieces in cut for p in pieces if p not in known})
+            self._forget()
+        column = pc.fill_null(pa.array(texts, pa.string()) if isinstance(texts, list) else texts, "")
+        cut = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(column))
+        coded = cut.flatten().dictionary_encode()
+        pieces = coded.dictionary.to_pylist()
+        missing = [p for p in pieces if p not in self._index]
         if missing or self._scores is None:
             self._learn(missing)
-        return [np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces)) for pieces in cut]
+        place = np.fromiter(map(self._index.__getitem__, pieces), np.int64, len(pieces))
+        rows = place[coded.indices.to_numpy()]
+        ends = np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False)).astype(np.int64)
+        return np.split(rows, ends[:-1])[:len(column)]
 
     def path(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The language of every piece, and the pieces' numbers of letters."""

@@ -78,3 +78,29 @@ def test_short_cut_is_the_full_path():
         assert value == pytest.approx(full_search(scores, 12.0), abs=1e-9)
         single += k > 1 and len(set(labels.tolist())) == 1
     assert 300 < single < 2900
+
+
+def test_numerals_are_no_letters(spark):
+    from pyspark.sql import functions as F
+
+    from tenderlens.llm import language_id, language_model
+
+    model = language_model.fit_counts([("aa", " ab", 3), ("aa", "ab ", 3), ("bb", " xy", 3), ("bb", "xy ", 3)])
+    texts = ["½ ² ① Ⅷ", "12 34", "", None, "  ", "ab", "xy xy ab½xy", "ab xy", " ab ab "]
+    docs = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = docs.select("i", language_id.predict(F.col("t"), model).alias("f")).orderBy("i").collect()
+    names = [r["f"]["lang_pred"] for r in got]
+    assert names[:5] == ["und"] * 5
+    assert names[5:] == ["aa", "bb", "aa", "aa"]  # the tie goes to the name that sorts first
+    assert [r["f"]["score"] for r in got[:6]] == [0, 0, 0, 0, 0, 1]
+
+
+def test_half_of_the_pieces_is_forgotten():
+    from tenderlens.llm import language_model
+
+    model = language_model.fit_counts([("aa", " ab", 3), ("bb", " xy", 3)])
+    model.remember = 4
+    whole = language_model.fit_counts([("aa", " ab", 3), ("bb", " xy", 3)])
+    for texts in (["ab xy q", "r s"], ["ab u v", "", "xy w"], ["ab xy"]):
+        for a, b in zip(model.look_up(texts), whole.look_up(texts), strict=True):
+            assert (model._scores[a] == whole._scores[b]).all() and (model._sizes[a] == whole._sizes[b]).all()
