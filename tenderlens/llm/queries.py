@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tenderlens.llm import (
     byte_bpe, exact_dedup, filter_audit, language_id, line_dedup, merkle, nearest, packing, simhash, token_counts,
-    url_rules, warc,
+    toxicity, url_rules, warc,
 )
 from tenderlens.llm.common import ascii_lower, table
 
@@ -273,3 +273,13 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         merkle.hexadecimal(merkle.proof_digest(F.col("proof"))).alias("proof_sha256"),
         merkle.hexadecimal(F.col("folded")).alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"),
     )
+
+
+@_query()
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How toxic every whole text is, learned from the labels of four fifths of the documents."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
