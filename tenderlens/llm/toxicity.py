@@ -139,7 +139,7 @@ def fit(
     """A model from the documents where ``learn`` holds (an expression over the id) and a label is known.
 
     About ``sample`` texts at most are learned from, half of each class if there are as many, chosen by a
-    hash of id and text; all labelled texts are counted and each drawn one stands for its share.  The lexicon has at
+    hash of the id; all labelled texts are counted and each drawn one stands for its share.  The lexicon has at
     most ``entries`` words and beginnings, each in ``least`` toxic texts or more; it, and the counts and votes of the
     sample, go to the driver, but no text.  A document is toxic if any of its labels is 1; labels other than 0 and 1 and NULL ids are left out, NULL
     texts are empty.  Without texts of both classes all scores are the share of toxic ones, 0 without any.
@@ -147,16 +147,16 @@ def fit(
     gold = labels.where(F.col(label).isin(0, 1) & F.col(id_column).isNotNull() & learn)
     gold = gold.groupBy(F.col(id_column).alias("id")).agg(F.max(F.col(label)).cast("int").alias("toxic"))
     known = docs.where(learn).select(F.col(id_column).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    sizes = {r["toxic"]: r["n"] for r in
-             known.select("id").join(gold, "id").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    labelled = stored(gold.join(known.select("id"), "id", "left_semi"))
+    sizes = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
         share = 1.0 if 1 in sizes else 0.0
         return ToxicityModel([], np.array([30.0 if share else -30.0]))
     shares = [min(1.0, sample / 2 / sizes[y]) for y in (0, 1)]
     share = F.when(F.col("toxic") == 1, shares[1]).otherwise(shares[0])
-    # Ids are drawn first, so that only the drawn ones meet the texts.
-    chosen = gold.where(F.pmod(F.xxhash64(F.lit(13), "id"), F.lit(1 << 20)) < share * (1 << 20))
-    drawn = stored(known.join(chosen, "id").select("text", "toxic"))
+    # At most about ``sample`` ids go to all tasks, so no other text moves.
+    chosen = labelled.where(F.pmod(F.xxhash64(F.lit(13), "id"), F.lit(1 << 20)) < share * (1 << 20))
+    drawn = stored(known.join(F.broadcast(chosen), "id").select("text", "toxic"))
 
     mined = drawn.mapInArrow(_mine, "entry string, clean bigint, bad bigint")
     mined = mined.groupBy("entry").agg(F.sum("clean").alias("clean"), F.sum("bad").alias("bad")).where(
