@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -460,26 +462,76 @@ def competition_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage2.competition_report(grouped.competition_contrast(clean_table(spark, sf_dir)))
 
 
-_STAGE2_SQL = f"""
-select 'central' as tabla, count(*) as filas from (select unnest(range(4)))
-union all select 'dispersion', 4
-union all select 'by_modality', count(distinct modalidad_de_contratacion) from clean
-union all select 'tukey_award', 1 union all select 'tukey_days', 1
-union all select 'top_award', least(10, count(*)) from clean, ({_bounds_sql(S.AWARD, 'clean')})
-  where {S.AWARD} > limite_superior
-union all select 'top_days', least(10, count(*)) from clean, ({_bounds_sql(S.DURATION_DAYS, 'clean')})
-  where {S.DURATION_DAYS} > limite_superior
-union all select 'competition', count(distinct {_BAND_SQL}) from clean
-"""
-
-
-@_query(with_clean(_STAGE2_SQL))
+# Table of the stage, query whose SQL states it, key columns, and digits of its rounded columns.
+_STAGE2_TABLES = {
+    "central": ("central_tendency", ["variable"], {
+        "media": 4, "mediana": 4, "moda": 6, "skewness": 6, "divergencia_media_vs_mediana_pct": 6}),
+    "dispersion": ("dispersion", ["variable"], DISPERSION_DIGITS),
+    "by_modality": ("dispersion_by_group", [S.MODALITY], GROUP_DIGITS),
+    "tukey_award": ("tukey_summary", [], _SUMMARY_DIGITS),
+    "tukey_days": (with_clean(_summary_sql(S.DURATION_DAYS, "clean")), [], _SUMMARY_DIGITS),
+    "top_award": ("top_outliers", [S.ID], {}),
+    "top_days": ("top_outliers_duration", [S.ID], {}),
+    "competition": ("competition_contrast", ["banda_orden"], {
+        "mediana_valor_adjudicado": 4, "media_valor_adjudicado": 4, "tasa_sobrecosto_pct": 6, "porcentaje_del_total": 6}),
+    "award_histogram": ("log_histogram_auto", ["bin"], {"desde": 4, "hasta": 4}),
+    "award_density": (with_clean("," + _density_sql(_LOG_AWARD, 0.0)), ["punto"], _DENSITY_DIGITS),
+    "award_lines": ("reference_lines", [], {"media": 4, "mediana": 4}),
+    "boxes": ("boxplot_by_group", [S.MODALITY], dict.fromkeys(
+        ["media", "q1", "mediana", "q3", "bigote_inferior", "bigote_superior"], 4)),
+    "competition_points": ("competition_scatter", [], {}),
+    "competition_grid": ("competition_grid", [S.BIDDERS, "celda_log10", S.OVERCOST_FLAG], {}),
+}
+# Columns of the tables that hold texts; all others are numbers.
+_STAGE2_TEXTS = {
+    "variable", "interpretacion_sesgo", S.MODALITY, S.ID, S.REFERENCE, S.ENTITY, S.CITY, "rango_competencia", "serie"}
+_STAGE2_COLUMNS = {
+    "central": ["media", "mediana", "moda", "skewness", "divergencia_media_vs_mediana_pct", "interpretacion_sesgo"],
+    "dispersion": list(DISPERSION_DIGITS),
+    "by_modality": ["conteo", *GROUP_DIGITS],
+    "tukey_award": [*_FENCES, "total_validos", "conteo_outliers", "conteo_outliers_superiores",
+                    "conteo_outliers_inferiores", "porcentaje_outliers"],
+    "top_award": [c for c in outliers.INFO_COLUMNS if c != S.ID],
+    "competition": ["rango_competencia", "total_contratos", "mediana_valor_adjudicado", "media_valor_adjudicado",
+                    "tasa_sobrecosto_pct", "mediana_duracion_dias", "porcentaje_del_total"],
+    "award_histogram": ["desde", "hasta", "n"],
+    "award_density": ["x", "densidad"],
+    "award_lines": ["media", "mediana"],
+    "boxes": ["n", "media", "q1", "mediana", "q3", "bigote_inferior", "bigote_superior", "atipicos"],
+    "competition_points": [S.BIDDERS, S.AWARD, S.OVERCOST_FLAG, "serie"],
+    "competition_grid": ["contratos"],
+}
+_STAGE2_COLUMNS |= {"tukey_days": _STAGE2_COLUMNS["tukey_award"], "top_days": _STAGE2_COLUMNS["top_award"]}
+
+
+def _long_sql(name: str) -> str:
+    """Every value of a table of stage 2 as a row of its own."""
+    source, keys, _ = _STAGE2_TABLES[name]
+    sql = QUERIES[source][1] if source in QUERIES else source
+    key = " || '|' || ".join(f"coalesce(cast({k} as varchar), '')" if k in _STAGE2_TEXTS else
+                             f"coalesce(cast(cast({k} as bigint) as varchar), '')" for k in keys) or "''"
+    columns = _STAGE2_COLUMNS[name]
+    cells = ", ".join(
+        f"struct_pack(medida := '{c}', valor := {'null::double' if c in _STAGE2_TEXTS else f'{c}::double'}, "
+        f"texto := {f'{c}::varchar' if c in _STAGE2_TEXTS else 'null::varchar'})" for c in columns)
+    return (f"select '{name}' as tabla, {key} as clave, unnest([{cells}], recursive := true) "
+            f"from ({sql})")
+
+
+def _long(name: str, rows: DataFrame) -> DataFrame:
+    _, keys, digits = _STAGE2_TABLES[name]
+    key = F.concat_ws("|", *[
+        F.coalesce(F.col(k) if k in _STAGE2_TEXTS else F.col(k).cast("bigint").cast("string"), F.lit("")) for k in keys
+    ]) if keys else F.lit("")
+    cells = F.array(*[F.struct(
+        F.lit(c).alias("medida"),
+        (F.lit(None) if c in _STAGE2_TEXTS else F.col(c)).cast("double").alias("valor"),
+        (F.col(c) if c in _STAGE2_TEXTS else F.lit(None)).cast("string").alias("texto"),
+    ) for c in _STAGE2_COLUMNS[name]])
+    return rounded(rows, digits).select(F.lit(name).alias("tabla"), key.alias("clave"), F.inline(cells))
+
+
+@_query(" union all ".join(f"({_long_sql(name)})" for name in _STAGE2_TABLES))
 def stage2_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = stage2.run_stage2(clean_table(spark, sf_dir))
-    names = ["central", "dispersion", "by_modality", "tukey_award", "tukey_days", "top_award", "top_days",
-             "competition"]
-    counts = [results[n].agg(F.lit(n).alias("tabla"), F.count("*").alias("filas")) for n in names]
-    whole = counts[0]
-    for part in counts[1:]:
-        whole = whole.unionAll(part)
-    return whole
+    return reduce(DataFrame.unionAll, [_long(name, results[name]) for name in _STAGE2_TABLES])

@@ -37,12 +37,13 @@ def _axis_values(df: DataFrame, value: str, log: bool) -> DataFrame:
     return df.select(x.alias("x")).where(F.col("x").isNotNull())
 
 
-def _automatic_bins(values: DataFrame, method: str) -> Column:
+def _automatic_bins(values: DataFrame, method: str, quartiles: DataFrame | None) -> Column:
     """Number of bins from the narrower of the quartile rule and the logarithmic rule.
 
     The quartile rule is kept from going below half the width of the square-root rule.
     """
-    quartiles = exact_quantiles(values, F.col("x"), {"q1": 0.25, "q3": 0.75}, method=method)
+    if quartiles is None:
+        quartiles = exact_quantiles(values, F.col("x"), {"q1": 0.25, "q3": 0.75}, method=method)
     spread = quartiles.select(F.col("q3") - F.col("q1")).scalar()
     n = F.col("n").cast("double")
     extent = F.col("high") - F.col("low")
@@ -54,17 +55,19 @@ def _automatic_bins(values: DataFrame, method: str) -> Column:
 
 
 def histogram(
-    df: DataFrame, value: str, bins: int | None = None, log: bool = False, method: str = "narrow"
+    df: DataFrame, value: str, bins: int | None = None, log: bool = False, method: str = "narrow",
+    quartiles: DataFrame | None = None,
 ) -> DataFrame:
     """Equal-width bins ``(bin, desde, hasta, n)``, empty ones included; the last is closed.
 
     On a log axis the bins have equal width in ``log10`` and the edges are amounts.
+    ``quartiles`` (``q1``, ``q3`` on the axis) if they are known already.
     """
     values = _axis_values(df, value, log)
     extent = values.agg(
         F.count("x").alias("n"), F.min("x").alias("low"), F.max("x").alias("high")
     )
-    count = F.lit(bins).cast("bigint") if bins else _automatic_bins(values, method)
+    count = F.lit(bins).cast("bigint") if bins else _automatic_bins(values, method, quartiles)
     pad = F.when(F.col("low") == F.col("high"), 0.5).otherwise(0.0)
     axis = extent.select(
         (F.col("low") - pad).alias("low"), (F.col("high") + pad).alias("high"), count.alias("bins")
@@ -96,10 +99,11 @@ def histogram(
 
 
 def log_histogram(
-    df: DataFrame, value: str = S.AWARD, bins: int | None = None, method: str = "narrow"
+    df: DataFrame, value: str = S.AWARD, bins: int | None = None, method: str = "narrow",
+    quartiles: DataFrame | None = None,
 ) -> DataFrame:
     """Histogram of the positive values on a log axis."""
-    return histogram(df, value, bins, log=True, method=method)
+    return histogram(df, value, bins, log=True, method=method, quartiles=quartiles)
 
 
 def density_curve(
@@ -148,24 +152,28 @@ def density_curve(
     )
 
 
-def reference_lines(df: DataFrame, value: str = S.AWARD, method: str = "narrow") -> DataFrame:
-    """One row: mean and median of the column."""
+def reference_lines(
+    df: DataFrame, value: str = S.AWARD, method: str = "narrow", median: DataFrame | None = None
+) -> DataFrame:
+    """One row: mean and median of the column; ``median`` (``mediana``) if it is known already."""
     amount = number_column(df, value)
-    median = exact_quantiles(df, amount, {"mediana": 0.5}, method=method).scalar()
-    return df.agg(F.avg(amount).alias("media")).select("media", median.alias("mediana"))
+    if median is None:
+        median = exact_quantiles(df, amount, {"mediana": 0.5}, method=method)
+    return df.agg(F.avg(amount).alias("media")).select("media", median.scalar().alias("mediana"))
 
 
 def _boxes(
-    df: DataFrame, value: str, key: str, k: float, method: str
+    df: DataFrame, value: str, key: str, k: float, method: str, quartiles: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Rows with the box of their group, and the boxes."""
     values = df.where(F.col(key).isNotNull()).select("*", number_column(df, value).alias("_x"))
     values = values.where(F.col("_x").isNotNull())
     few = few_groups(values, [key])
-    quartiles = exact_quantiles(
-        values, F.col("_x"), {"q1": 0.25, "mediana": 0.5, "q3": 0.75}, [key], method=method,
-        groups_bounded=few,
-    )
+    if quartiles is None:
+        quartiles = exact_quantiles(
+            values, F.col("_x"), {"q1": 0.25, "mediana": 0.5, "q3": 0.75}, [key], method=method,
+            groups_bounded=few,
+        )
     spread = F.col("q3") - F.col("q1")
     boxes = quartiles.select(
         "*", (F.col("q1") - k * spread).alias("_low"), (F.col("q3") + k * spread).alias("_high")
@@ -176,14 +184,14 @@ def _boxes(
 
 def boxplot_by_group(
     df: DataFrame, value: str = S.AWARD, key: str = S.MODALITY, k: float = 1.5,
-    method: str = "narrow",
+    method: str = "narrow", quartiles: DataFrame | None = None,
 ) -> DataFrame:
     """Box, mean, whiskers and number of fliers per group, highest median first.
 
     A whisker ends at the most extreme value within the fences, or at the box if no
-    value lies between fence and box.
+    value lies between fence and box.  ``quartiles`` (the key, ``q1``, ``mediana``, ``q3``) if they are known already.
     """
-    rows, _ = _boxes(df, value, key, k, method)
+    rows, _ = _boxes(df, value, key, k, method, quartiles)
     x = F.col("_x")
     inside = x.between(F.col("_low"), F.col("_high"))
     return (

@@ -79,9 +79,13 @@ def smallest_mode(counts: DataFrame) -> DataFrame:
 
 
 def central_tendency(
-    df: DataFrame, columns: Sequence[str] = tuple(S.STATISTICS_COLUMNS), method: str = "narrow"
+    df: DataFrame, columns: Sequence[str] = tuple(S.STATISTICS_COLUMNS), method: str = "narrow",
+    medians: DataFrame | None = None,
 ) -> DataFrame:
-    """Mean, median, mode, adjusted skewness and the distance between mean and median."""
+    """Mean, median, mode, adjusted skewness and the distance between mean and median.
+
+    ``medians`` (``variable``, ``mediana``) if they are known already.
+    """
     present = [c for c in columns if c in df.columns]
     if not present:
         return df.sparkSession.createDataFrame([], CENTRAL_SCHEMA)
@@ -90,10 +94,11 @@ def central_tendency(
         "n": F.count, "media": F.avg, "g1": F.skewness, "low": F.min, "high": F.max,
     }).where(F.col("n") > 0)
     counts = value_counts(values, present)
-    medians = exact_quantiles(
-        counts, F.col("value"), {"mediana": 0.5}, ["variable"],
-        weight=F.col("n"), method=method, groups_bounded=True,
-    )
+    if medians is None:
+        medians = exact_quantiles(
+            counts, F.col("value"), {"mediana": 0.5}, ["variable"],
+            weight=F.col("n"), method=method, groups_bounded=True,
+        )
     skewness = adjusted_skewness(F.col("n"), F.col("g1"), F.col("low"), F.col("high"))
     distance = (F.col("media") - F.col("mediana")) / F.abs("mediana") * 100
     return (
@@ -109,9 +114,13 @@ def central_tendency(
 
 
 def dispersion(
-    df: DataFrame, columns: Sequence[str] = tuple(S.STATISTICS_COLUMNS), method: str = "narrow"
+    df: DataFrame, columns: Sequence[str] = tuple(S.STATISTICS_COLUMNS), method: str = "narrow",
+    quartiles: DataFrame | None = None,
 ) -> DataFrame:
-    """Standard deviation, variance, range, quartiles and coefficient of variation."""
+    """Standard deviation, variance, range, quartiles and coefficient of variation.
+
+    ``quartiles`` (``variable``, ``q1``, ``q3``) if they are known already.
+    """
     present = [c for c in columns if c in df.columns]
     if not present:
         return df.sparkSession.createDataFrame([], DISPERSION_SCHEMA)
@@ -120,10 +129,11 @@ def dispersion(
         "desviacion_estandar": F.stddev_samp, "varianza": F.var_samp,
         "min": F.min, "max": F.max, "media": F.avg,
     })
-    quartiles = exact_quantiles(
-        values.unpivot([], present, "variable", "value"), F.col("value"),
-        {"q1": 0.25, "q3": 0.75}, ["variable"], method=method, groups_bounded=True,
-    )
+    if quartiles is None:
+        quartiles = exact_quantiles(
+            values.unpivot([], present, "variable", "value"), F.col("value"),
+            {"q1": 0.25, "q3": 0.75}, ["variable"], method=method, groups_bounded=True,
+        )
     variation = F.col("desviacion_estandar") / F.abs("media") * 100
     return moments.join(F.broadcast(quartiles), "variable").select(
         "variable", "desviacion_estandar", "varianza", "min", "max",

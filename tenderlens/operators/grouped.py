@@ -16,20 +16,23 @@ def _share_of(df: DataFrame, part: Column) -> Column:
 
 
 def dispersion_by_group(
-    df: DataFrame, value: str = S.AWARD, key: str = S.MODALITY, method: str = "narrow"
+    df: DataFrame, value: str = S.AWARD, key: str = S.MODALITY, method: str = "narrow",
+    quartiles: DataFrame | None = None,
 ) -> DataFrame:
     """Count, mean, quartiles and spread of ``value`` per group, largest group first.
 
-    Rows without a key form no group but belong to the total of the share.
+    Rows without a key form no group but belong to the total of the share.  ``quartiles``
+    (the key, ``q1``, ``mediana``, ``q3``) if they are known already.
     """
     values = df.where(F.col(key).isNotNull()).select(key, number_column(df, value).alias("value"))
     moments = values.groupBy(key).agg(
         F.count("value").alias("conteo"), F.avg("value").alias("media"),
         F.stddev_samp("value").alias("std"),
     )
-    quartiles = exact_quantiles(
-        values, F.col("value"), {"q1": 0.25, "mediana": 0.5, "q3": 0.75}, [key], method=method
-    )
+    if quartiles is None:
+        quartiles = exact_quantiles(
+            values, F.col("value"), {"q1": 0.25, "mediana": 0.5, "q3": 0.75}, [key], method=method
+        )
     return (
         moments.join(quartiles, key, "left")
         .select(
@@ -41,6 +44,26 @@ def dispersion_by_group(
     )
 
 
+def _band_medians(rows: DataFrame, method: str) -> DataFrame:
+    """Median of ``value`` and ``days`` per band."""
+    # Both medians come from one pass: the band and the measure are the group.
+    pairs = F.stack(F.lit(2), F.lit("value"), F.col("value"), F.lit("days"), F.col("days"))
+    return (
+        exact_quantiles(
+            rows.select("banda_orden", pairs.alias("measure", "amount")),
+            F.col("amount"), {"median": 0.5}, ["banda_orden", "measure"],
+            method=method, groups_bounded=True,
+        )
+        .groupBy("banda_orden")
+        .agg(*[
+            F.max(F.when(F.col("measure") == measure, F.col("median"))).alias(name)
+            for measure, name in [
+                ("value", "mediana_valor_adjudicado"), ("days", "mediana_duracion_dias")
+            ]
+        ])
+    )
+
+
 def competition_contrast(
     df: DataFrame,
     competition: str = S.BIDDERS,
@@ -49,8 +72,12 @@ def competition_contrast(
     id_column: str = S.ID,
     duration: str = S.DURATION_DAYS,
     method: str = "narrow",
+    medians: DataFrame | None = None,
 ) -> DataFrame:
-    """Contracts, typical amount, overrun rate and duration per band of competition."""
+    """Contracts, typical amount, overrun rate and duration per band of competition.
+
+    ``medians`` (``banda_orden``, ``mediana_valor_adjudicado``, ``mediana_duracion_dias``) if they are known already.
+    """
     rows = df.select(
         band_order(number_column(df, competition)).alias("banda_orden"),
         F.col(id_column).alias("id"),
@@ -62,22 +89,8 @@ def competition_contrast(
         F.count("id").alias("total_contratos"), F.avg("value").alias("media_valor_adjudicado"),
         (F.avg("flag") * 100).alias("tasa_sobrecosto_pct"),
     )
-    # Both medians come from one pass: the band and the measure are the group.
-    pairs = F.stack(F.lit(2), F.lit("value"), F.col("value"), F.lit("days"), F.col("days"))
-    medians = (
-        exact_quantiles(
-            rows.select("banda_orden", pairs.alias("measure", "amount")),
-            F.col("amount"), {"median": 0.5}, ["banda_orden", "measure"],
-            method=method, groups_bounded=True,
-        )
-        .groupBy("banda_orden")
-        .agg(*[
-            F.max(F.when(F.col("measure") == measure, F.col("median"))).alias(name)
-            for measure, name in [
-                ("value", "mediana_valor_adjudicado"), ("days", "mediana_duracion_dias")
-            ]
-        ])
-    )
+    if medians is None:
+        medians = _band_medians(rows, method)
     labels = F.array(*[F.lit(label) for label in BAND_LABELS])
     return (
         moments.join(F.broadcast(medians), "banda_orden", "left")

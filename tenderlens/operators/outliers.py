@@ -19,9 +19,13 @@ INFO_COLUMNS = [
 
 def tukey_bounds(df: DataFrame, value: str, k: float = 1.5, method: str = "narrow") -> DataFrame:
     """One row: quartiles, interquartile range and both fences.  No row without values."""
-    quartiles = exact_quantiles(
+    return fences(exact_quantiles(
         df, number_column(df, value), {"q1": 0.25, "q3": 0.75}, method=method
-    )
+    ), k)
+
+
+def fences(quartiles: DataFrame, k: float = 1.5) -> DataFrame:
+    """The row of ``tukey_bounds`` from its quartiles ``q1`` and ``q3``."""
     spread = F.col("q3") - F.col("q1")
     return quartiles.select(
         "q1", "q3", spread.alias("iqr"),

@@ -1,25 +1,26 @@
 """Exact quantiles without gathering a group in one task.
 
-``percentile`` and ``median`` keep a map of every distinct value of a group in
-one buffer, which fails for a large group.  So ranks are narrowed down in counted
-steps, at every size of the table:
-
-1. count rows per group and coarse bucket; a bucket is a range of values of equal
-   relative width, so the counts stay few however many rows there are;
-2. running totals over those counts tell which bucket holds each wanted rank;
-3. count the distinct values of the wanted buckets only, and narrow them down to
-   fine buckets in the same way;
-4. running totals over the few values left in a fine bucket give the value.
-
-All steps aggregate map-side before they shuffle, so neither a large group nor a
-frequent value loads one task, and the result is the exact linearly interpolated
-quantile.
+``percentile`` and ``median`` keep a map of every distinct value of a group in one buffer, which
+fails for a large group.  So ranks are found digit by digit, at every size of the table.
+``order_code`` turns a number into a 64-bit integer of the same order, read as four digits
+of 16 bits:
+
+1. count rows per group and first digit;
+2. running totals over those counts tell which digit holds each wanted rank;
+3. count the distinct values with the wanted first digits only;
+4. three times, count the next digit of the values whose digits so far are wanted.
+
+The table is scanned twice.  All steps aggregate map-side before they shuffle, and no running
+total has more than 65,536 rows, so neither a large group nor a frequent value nor a narrow range of
+very many values loads one task.  The result is the exact linearly interpolated quantile.
+
+``quantile_answers`` answers many requests, each with its own column and groups, in the same two scans.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,12 +28,25 @@ from pyspark.sql import functions as F
 # Targets of at most this many groups are broadcast to the second scan.
 MAX_BROADCAST_GROUPS = 20_000
 
-# Buckets per doubling of the value.
-_COARSE = 128
-_FINE = _COARSE * 65_536
-_OFFSET = 800.0  # above the natural logarithm of any double, in size
+_DIGIT_BITS, _DIGITS = 16, 4
+# Of a double: bits of the fraction, the smallest exponent, and the offset that makes exponents positive.
+_FRACTION_BITS, _LEAST_EXPONENT, _EXPONENT_BIAS = 52, -1022, 1023
+
+_GROUP, _VALUE, _COUNT, _CODE, _WANTED = "_g", "_v", "_n", "_c", "_w"
 
-_VALUE, _COUNT, _BUCKET, _FINE_BUCKET, _WANTED = "_v", "_n", "_b", "_s", "_w"
+
+@dataclass(frozen=True)
+class Request:
+    """Quantiles of one column: ``points`` maps output columns to probabilities.
+
+    ``keys`` name columns of the table; ``groups_bounded`` states that they have few values by construction,
+    which saves the check before the ranks are broadcast.
+    """
+
+    value: Column
+    points: Mapping[str, float]
+    keys: Sequence[str] = field(default=())
+    groups_bounded: bool = False
 
 
 def few_groups(df: DataFrame, keys: Sequence[str]) -> bool:
@@ -50,28 +64,46 @@ def is_present(value: Column) -> Column:
     return value.isNotNull() & ~F.isnan(value)
 
 
-def _bucket(value: Column, per_octave: int) -> Column:
-    """Number of the bucket of ``value``; never decreases as the value grows."""
-    exponent = F.least(F.ln(F.abs(value)), F.lit(_OFFSET)) + _OFFSET
-    size = F.rint(exponent * (per_octave / math.log(2))) + 1
-    # Zero has no logarithm and gets bucket 0.  The coalesce also makes the column
-    # non-nullable: otherwise the joins would add null filters below one use of a
-    # shared aggregate, which would then run twice.
-    return F.coalesce((F.signum(value) * size).cast("bigint"), F.lit(0).cast("bigint"))
-
-
-def _rows_before(keys: Sequence[str], order: str) -> Column:
-    window = Window.partitionBy(*keys).orderBy(order)
-    return F.sum(_COUNT).over(window) - F.col(_COUNT)
+def with_order_code(df: DataFrame, value: str, code: str) -> DataFrame:
+    """``df`` with a bigint that orders like the double ``value``; equal doubles have equal codes.
 
-
-def _narrow(wanted: Column, before: Column) -> Column:
-    """Wanted ranks that fall into this row's run of values, counted from its start."""
-    inside = F.filter(wanted, lambda w: (w["rank"] >= before) & (w["rank"] < before + F.col(_COUNT)))
+    The code holds exponent and fraction as the double itself does: powers of two and quotients by
+    them are exact, so it is exact too, subnormal numbers and infinities included.  It is never NULL.
+    """
+    size = F.abs(F.col(value))
+    near = F.least(F.greatest(F.floor(F.log2(size)), F.lit(_LEAST_EXPONENT)), F.lit(_EXPONENT_BIAS))
+    # The logarithm is rounded, so it may be off by one at a power of two.  Zero has none.
+    found = df.select("*", F.coalesce(near, F.lit(_LEAST_EXPONENT)).cast("int").alias("_near"))
+    power = F.pow(F.lit(2.0), F.col("_near"))
+    over = F.when(size >= power * 2, 1).when((size < power) & (F.col("_near") > _LEAST_EXPONENT), -1).otherwise(0)
+    found = found.select(*df.columns, (F.col("_near") + over).alias("_exp"))
+    fraction = (size / F.pow(F.lit(2.0), F.col("_exp")) - 1.0) * float(1 << _FRACTION_BITS)
+    whole = F.shiftleft((F.col("_exp") + _EXPONENT_BIAS).cast("bigint"), _FRACTION_BITS) + fraction.cast("bigint")
+    infinite = F.lit((2 * _EXPONENT_BIAS + 1) << _FRACTION_BITS)
+    magnitude = F.when(size == float("inf"), infinite).otherwise(whole)
+    signed = F.when(F.col(value) < 0, -magnitude).otherwise(magnitude)
+    # Non-nullable: otherwise joins would add null filters below one use of a shared
+    # aggregate, which would then run twice.
+    return found.select(*df.columns, F.coalesce(signed, F.lit(0).cast("bigint")).alias(code))
+
+
+def _prefix(digits: int) -> Column:
+    """The first ``digits`` digits of the code."""
+    return F.shiftright(_CODE, _DIGIT_BITS * (_DIGITS - digits)).alias(f"_p{digits}")
+
+
+def _narrow(*digits_before: str) -> Column:
+    """Wanted ranks that fall into this row's run of values, counted from its start.
+
+    The run follows those of the rows with the same group and digits before, and a smaller value.
+    """
+    window = Window.partitionBy(_GROUP, *digits_before[:-1]).orderBy(digits_before[-1])
+    before = F.sum(_COUNT).over(window) - F.col(_COUNT)
+    inside = F.filter(_WANTED, lambda w: (w["rank"] >= before) & (w["rank"] < before + F.col(_COUNT)))
     return F.transform(
         inside, lambda w: F.struct(w["slot"].alias("slot"), (w["rank"] - before).alias("rank"),
                                    w["share"].alias("share"))
-    )
+    ).alias(_WANTED)
 
 
 def _wanted_ranks(points: Sequence[float]) -> Column:
@@ -96,44 +128,39 @@ def _interpolated(slot: int) -> Column:
     return F.when(lower == upper, lower).otherwise(lower + (upper - lower) * share)
 
 
-def _narrowed(values: DataFrame, keys: list[str], points: Sequence[float], small: bool) -> DataFrame:
-    hint = F.broadcast if small else (lambda table: table)
-
-    counts = (
-        values.withColumn(_BUCKET, _bucket(F.col(_VALUE), _COARSE))
-        .groupBy(*keys, _BUCKET).agg(F.sum(_COUNT).alias(_COUNT))
-        .withColumn("_total", F.sum(_COUNT).over(Window.partitionBy(*keys)))
-        .withColumn("_before", _rows_before(keys, _BUCKET))
-    )
-    coarse = counts.select(
-        *keys, _BUCKET, _narrow(_wanted_ranks(points), F.col("_before")).alias(_WANTED)
-    ).where(F.size(_WANTED) > 0)
-
-    on = [*keys, _BUCKET]
-    bucketed = values.withColumn(_BUCKET, _bucket(F.col(_VALUE), _COARSE))
-    wanted = hint(coarse.select(*on))
-
-    def counted(rows: DataFrame) -> DataFrame:
-        return rows.groupBy(*on, _VALUE).agg(F.sum(_COUNT).alias(_COUNT))
+def _hits(values: DataFrame, ranks: Column, small: bool) -> DataFrame:
+    """The values at the wanted ranks: ``(_g, _v, slot, share)`` from ``(_g, _v, _n)``.
 
+    The ranks that are wanted among rows of equal digits travel with the rows, as part of
+    their key in every count.
+    """
+    total = F.sum(_COUNT).alias(_COUNT)
+    some = F.size(_WANTED) > 0
+    hint = F.broadcast if small else (lambda table: table)
+    coded = with_order_code(values, _VALUE, _CODE).select("*", _prefix(1))
+    counts = coded.groupBy(_GROUP, "_p1").agg(total)
+    counts = counts.select("*", F.sum(_COUNT).over(Window.partitionBy(_GROUP)).alias("_total"))
+    counts = counts.select(_GROUP, "_p1", _COUNT, ranks.alias(_WANTED))
+    wanted = counts.select(_GROUP, "_p1", _narrow("_p1")).where(some)
     # Too many groups to broadcast: count first, so that a frequent value is one row
-    # before the join moves a bucket into one task.
-    candidates = counted(bucketed.join(wanted, on)) if small else counted(bucketed).join(wanted, on)
-    candidates = candidates.withColumn(_FINE_BUCKET, _bucket(F.col(_VALUE), _FINE))
-    fine = (
-        candidates.groupBy(*on, _FINE_BUCKET).agg(F.sum(_COUNT).alias(_COUNT))
-        .withColumn("_before", _rows_before(on, _FINE_BUCKET))
-        .join(hint(coarse), on)
-        .select(*on, _FINE_BUCKET, _narrow(F.col(_WANTED), F.col("_before")).alias(_WANTED))
-        .where(F.size(_WANTED) > 0)
-    )
-    on_fine = [*on, _FINE_BUCKET]
-    return (
-        candidates.join(hint(fine), on_fine)
-        .withColumn("_before", _rows_before(on_fine, _VALUE))
-        .select(*keys, _VALUE, F.explode(_narrow(F.col(_WANTED), F.col("_before"))).alias("_hit"))
-        .select(*keys, _VALUE, "_hit.slot", "_hit.share")
-    )
+    # before the join moves a digit's values into few tasks.
+    key = [_GROUP, "_p1", _VALUE, _CODE]
+    if small:
+        rows = coded.join(hint(wanted), [_GROUP, "_p1"]).groupBy(*key, _WANTED).agg(total)
+    else:
+        rows = coded.groupBy(*key).agg(total).join(wanted, [_GROUP, "_p1"])
+    for digits in range(2, _DIGITS):
+        last, name = f"_p{digits - 1}", f"_p{digits}"
+        rows = rows.select(_GROUP, last, _VALUE, _CODE, _COUNT, _WANTED, _prefix(digits))
+        counts = rows.groupBy(_GROUP, last, name, _WANTED).agg(total)
+        wanted = counts.select(_GROUP, name, _narrow(last, name)).where(some)
+        rows = rows.drop(_WANTED).join(hint(wanted), [_GROUP, name])
+    ends = rows.select(_GROUP, _VALUE, _narrow(f"_p{_DIGITS - 1}", _CODE))  # one row for each whole code
+    return ends.select(_GROUP, _VALUE, F.inline(_WANTED)).select(_GROUP, _VALUE, "slot", "share")
+
+
+def _answered(hits: DataFrame, names: Sequence[str]) -> DataFrame:
+    return hits.groupBy(_GROUP).agg(*[_interpolated(slot).alias(name) for slot, name in enumerate(names)])
 
 
 def exact_quantiles(
@@ -157,15 +184,14 @@ def exact_quantiles(
     if method not in {"aggregate", "narrow", "approx"}:
         raise ValueError(f"Unknown quantile method: '{method}'")
     keys = list(keys)
-    named = keys or ["_all"]
+    present = is_present(F.col(_VALUE))
+    for key in keys:
+        present = present & F.col(key).isNotNull()
     values = df.select(
         *(keys or [F.lit(1).alias("_all")]),
         value.cast("double").alias(_VALUE),
         (F.lit(1) if weight is None else weight).cast("bigint").alias(_COUNT),
-    )
-    for key in keys:
-        values = values.where(F.col(key).isNotNull())
-    values = values.where(is_present(F.col(_VALUE)))
+    ).where(present)
     names, probabilities = list(points), list(points.values())
 
     if method != "narrow":
@@ -179,9 +205,40 @@ def exact_quantiles(
         return table.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
 
     small = groups_bounded or not keys or few_groups(values, keys)
-    hits = _narrowed(values, named, probabilities, small)
-    return (
-        hits.groupBy(*named)
-        .agg(*[_interpolated(slot).alias(name) for slot, name in enumerate(names)])
-        .select(*keys, *names)
-    )
+    named = values.select(F.struct(*(keys or ["_all"])).alias(_GROUP), _VALUE, _COUNT)
+    answers = _answered(_hits(named, _wanted_ranks(probabilities), small), names)
+    return answers.select(*[F.col(_GROUP)[k].alias(k) for k in keys], *names)
+
+
+def quantile_answers(df: DataFrame, requests: Mapping[str, Request]) -> DataFrame:
+    """The quantiles of many requests, found in two scans of ``df`` together.
+
+    Each row of ``df`` is read once per scan and counted for every request; the digits of all requests
+    are narrowed together.  The answers are one small table, a row per request and group, of which
+    ``quantiles_of`` selects the rows of one request.
+    """
+    keys = sorted({key for request in requests.values() for key in request.keys})
+    kind = "array<struct<slot:int,rank:bigint,share:double>>"
+    entries, ranks = [], F.array().cast(kind)
+    for i, request in enumerate(requests.values()):
+        value = request.value.cast("double")
+        for key in request.keys:
+            value = F.when(F.col(key).isNotNull(), value)
+        own = [(F.col(key) if key in request.keys else F.lit(None).cast(df.schema[key].dataType)).alias(key)
+               for key in keys]
+        entries.append(F.struct(F.struct(F.lit(i).alias("request"), *own).alias(_GROUP), value.alias(_VALUE)))
+        mine = _wanted_ranks(list(request.points.values())).cast(kind)
+        ranks = F.when(F.col(_GROUP)["request"] == i, mine).otherwise(ranks)
+    values = df.select(F.inline(F.array(*entries))).where(is_present(F.col(_VALUE)))
+    values = values.select(_GROUP, _VALUE, F.lit(1).cast("bigint").alias(_COUNT))
+    small = all(r.groups_bounded or not r.keys or few_groups(df, list(r.keys)) for r in requests.values())
+    width = max(len(request.points) for request in requests.values())
+    return _answered(_hits(values, ranks, small), [f"_q{i}" for i in range(width)])
+
+
+def quantiles_of(answers: DataFrame, requests: Mapping[str, Request], name: str) -> DataFrame:
+    """The result of one request from the table of all answers."""
+    request = requests[name]
+    return answers.where(F.col(_GROUP)["request"] == list(requests).index(name)).select(
+        *[F.col(_GROUP)[key].alias(key) for key in request.keys],
+        *[F.col(f"_q{slot}").alias(point) for slot, point in enumerate(request.points)])

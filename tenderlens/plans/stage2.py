@@ -2,40 +2,71 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenderlens import schema as S
-from tenderlens.functions import days_text, money_text, percent_text, skew_text
+from tenderlens.functions import band_order, days_text, money_text, number_column, percent_text, skew_text
 from tenderlens.operators import charts, describe, grouped, outliers
+from tenderlens.operators.quantiles import Request, quantile_answers, quantiles_of
+from tenderlens.sources import kept
+
+
+_QUARTILES = {"q1": 0.25, "mediana": 0.5, "q3": 0.75}
+
 
+def _known_quantiles(clean: DataFrame) -> dict[str, dict[str, DataFrame]]:
+    """All quantiles of the stage, as the arguments of the functions that use them.
 
-def _settled(row: DataFrame) -> DataFrame:
-    """A one-row table computed now, so that its users share the result."""
-    return row.sparkSession.createDataFrame(row.take(1), row.schema)
+    Two scans of the clean table find them together; the answers, a row per column, modality and
+    band, are stored.
+    """
+    numbers = list(dict.fromkeys([*S.STATISTICS_COLUMNS, S.AWARD, S.DURATION_DAYS]))
+    band = band_order(number_column(clean, S.BIDDERS)).alias("banda_orden")
+    rows = clean.select(S.MODALITY, band, *[number_column(clean, c).alias(c) for c in numbers])
+    requests = {c: Request(F.col(c), _QUARTILES) for c in numbers}
+    positive = F.when(F.col(S.AWARD) > 0, F.log10(S.AWARD))
+    requests["log"] = Request(positive, {"q1": 0.25, "q3": 0.75})
+    requests["modality"] = Request(F.col(S.AWARD), _QUARTILES, [S.MODALITY])
+    for name, column in (("mediana_valor_adjudicado", S.AWARD), ("mediana_duracion_dias", S.DURATION_DAYS)):
+        requests[name] = Request(F.col(column), {name: 0.5}, ["banda_orden"], groups_bounded=True)
+    answers = kept(quantile_answers(rows, requests))
+    found = {name: quantiles_of(answers, requests, name) for name in requests}
+    columns = reduce(DataFrame.unionByName, [
+        found[c].select(F.lit(c).alias("variable"), *_QUARTILES) for c in S.STATISTICS_COLUMNS])
+    bands = found["mediana_valor_adjudicado"].join(found["mediana_duracion_dias"], "banda_orden", "full")
+    return {
+        "central": {"medians": columns.select("variable", "mediana")},
+        "dispersion": {"quartiles": columns.select("variable", "q1", "q3")},
+        "modality": {"quartiles": found["modality"]}, "competition": {"medians": bands},
+        "histogram": {"quartiles": found["log"]}, "lines": {"median": found[S.AWARD].select("mediana")},
+        "award": {"bounds": outliers.fences(found[S.AWARD])}, "days": {"bounds": outliers.fences(found[S.DURATION_DAYS])},
+    }
 
 
 def run_stage2(clean: DataFrame, method: str = "narrow") -> dict[str, DataFrame]:
     """Result tables by name, each lazy and reading only the columns it needs.
 
-    The fences of both variables are five numbers each; they are computed up front and
-    shared by the summaries and the top lists.
+    The quantiles of all tables are computed up front, in two scans together.  Other methods than ``narrow``
+    find them table by table.
     """
-    award = _settled(outliers.tukey_bounds(clean, S.AWARD, method=method))
-    days = _settled(outliers.tukey_bounds(clean, S.DURATION_DAYS, method=method))
+    q = defaultdict(lambda: {"method": method}, _known_quantiles(clean) if method == "narrow" else {})
     return {
-        "central": describe.central_tendency(clean, method=method),
-        "dispersion": describe.dispersion(clean, method=method),
-        "by_modality": grouped.dispersion_by_group(clean, method=method),
-        "tukey_award": outliers.tukey_summary(clean, S.AWARD, bounds=award),
-        "tukey_days": outliers.tukey_summary(clean, S.DURATION_DAYS, bounds=days),
-        "top_award": outliers.top_outliers(clean, S.AWARD, bounds=award),
-        "top_days": outliers.top_outliers(clean, S.DURATION_DAYS, bounds=days),
-        "competition": grouped.competition_contrast(clean, method=method),
-        "award_histogram": charts.log_histogram(clean, method=method),
+        "central": describe.central_tendency(clean, **q["central"]),
+        "dispersion": describe.dispersion(clean, **q["dispersion"]),
+        "by_modality": grouped.dispersion_by_group(clean, **q["modality"]),
+        "tukey_award": outliers.tukey_summary(clean, S.AWARD, **q["award"]),
+        "tukey_days": outliers.tukey_summary(clean, S.DURATION_DAYS, **q["days"]),
+        "top_award": outliers.top_outliers(clean, S.AWARD, **q["award"]),
+        "top_days": outliers.top_outliers(clean, S.DURATION_DAYS, **q["days"]),
+        "competition": grouped.competition_contrast(clean, **q["competition"]),
+        "award_histogram": charts.log_histogram(clean, **q["histogram"]),
         "award_density": charts.density_curve(clean, cut=0.0),
-        "award_lines": charts.reference_lines(clean, method=method),
-        "boxes": charts.boxplot_by_group(clean, method=method),
+        "award_lines": charts.reference_lines(clean, **q["lines"]),
+        "boxes": charts.boxplot_by_group(clean, **q["modality"]),
         "competition_points": charts.competition_points(clean),
         "competition_grid": charts.competition_grid(clean),
     }

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
 
@@ -29,3 +29,10 @@ def shared_folder(spark: SparkSession) -> str:
     machine-local folder would be lost with its machine.
     """
     return f"{_base(spark).rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """The rows as a table in a new shared folder, so that its users share one computation."""
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
