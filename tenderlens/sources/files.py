@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tenderlens import schema as S
 from tenderlens.functions import parse_iso_date, parse_number
+from tenderlens.sources.csv_records import read_csv_records
 
 # Texts that CSV readers commonly take for a missing value.
 NULL_TOKENS = [
@@ -51,14 +52,23 @@ def read_json_records(spark: SparkSession, path: str, array: bool = False) -> Da
     return _open(path, "extracción", lambda: reader.json(path))
 
 
-def read_raw_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def _read_csv(spark: SparkSession, path: str, multiline: bool, whole_files: bool) -> DataFrame:
+    if multiline and not whole_files:
+        return read_csv_records(spark, path, _CSV)
+    return spark.read.options(**_CSV).option("multiLine", multiline).csv(path)
+
+
+def read_raw_csv(
+    spark: SparkSession, path: str, multiline: bool = True, whole_files: bool = False
+) -> DataFrame:
     """Raw CSV with a header; every column is text and found by its name.
 
-    ``multiline`` keeps quoted line breaks whole but makes each file one task.  Turn
-    it off for large files that are known to hold none.
+    ``multiline`` keeps quoted line breaks whole, and large files are still read in many tasks; without it
+    each line is a record, which saves a shuffle.  ``whole_files`` reads each file in one task, for files with quotes
+    outside quoted fields, from which the splits could not tell where records begin.
     """
-    reader = spark.read.options(**_CSV).option("multiLine", multiline)
-    return fold_null_tokens(_open(path, "extracción", lambda: reader.csv(path)))
+    rows = _open(path, "extracción", lambda: _read_csv(spark, path, multiline, whole_files))
+    return fold_null_tokens(rows)
 
 
 def write_raw_csv(df: DataFrame, path: str) -> None:
@@ -91,10 +101,10 @@ def _typed(df: DataFrame) -> DataFrame:
 
 
 def read_clean(
-    spark: SparkSession, path: str, file_format: str = "parquet", multiline: bool = True
+    spark: SparkSession, path: str, file_format: str = "parquet", multiline: bool = True, whole_files: bool = False
 ) -> DataFrame:
-    """The clean table that the first stage wrote."""
+    """The clean table that the first stage wrote; for CSV see ``read_raw_csv``."""
     if file_format == "csv":
-        reader = spark.read.options(**_CSV).option("multiLine", multiline)
-        return _typed(fold_null_tokens(_open(path, "etapa 1", lambda: reader.csv(path))))
+        rows = _open(path, "etapa 1", lambda: _read_csv(spark, path, multiline, whole_files))
+        return _typed(fold_null_tokens(rows))
     return _open(path, "etapa 1", lambda: spark.read.parquet(path))
