@@ -9,10 +9,8 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
-    ElementwiseProduct,
     OneHotEncoder,
     StandardScaler,
-    StringIndexer,
     StringIndexerModel,
     VectorAssembler,
     VectorSlicer,
@@ -39,6 +37,10 @@ MODEL_TYPES = ("ridge", "linear")
 # The normal-equation solver accepts no more features than this.
 _NORMAL_SOLVER_FEATURES = 4096
 
+# Of least squares, per row and unit variance: far below any direction of the data, far above
+# the rounding errors of one without variance.
+_VANISHING_PENALTY = 1e-12
+
 
 def _log_amount(value: Column) -> Column:
     return F.when(value.isNotNull(), F.log1p(F.greatest(value, F.lit(0.0))))
@@ -96,35 +98,71 @@ def _refuse_above_limit(width: int) -> None:
         raise ValueError(f"{width} features; the normal equations take {_NORMAL_SOLVER_FEATURES} at most")
 
 
-def _category_stages(train: DataFrame, column: str, others: int = 0) -> tuple[list, list[str]]:
-    """Fitted stages that encode ``column`` without its first category, and their names.
-
-    With ``others`` features beside them.  Too many are refused before any category goes to the driver.
-    """
-    categories = train.where(F.col(column).isNotNull()).select(column).distinct().count()
-    _refuse_above_limit(others + max(categories - 1, 0))
-    indexer = StringIndexer(
-        inputCol=column, outputCol=f"{column}_index",
-        stringOrderType="alphabetAsc", handleInvalid="keep",
-    ).fit(train)
-    kept = indexer.labels[1:]
-    if not kept:
-        return [], []
+def _encoder_stages(spark: SparkSession, column: str, labels: Sequence[str]) -> list:
+    """Stages that encode ``column`` without the first of its ``labels``; none for a single one."""
+    if len(labels) < 2:
+        return []
+    indexer = StringIndexerModel.from_labels(
+        list(labels), inputCol=column, outputCol=f"{column}_index", handleInvalid="keep"
+    )
+    known = indexer.transform(spark.createDataFrame([(label,) for label in labels], f"`{column}` string"))
     encoder = OneHotEncoder(
         inputCols=[f"{column}_index"], outputCols=[f"{column}_all"], dropLast=False
-    ).fit(indexer.transform(train))
+    ).fit(known)
     # The encoder adds a slot for unseen categories behind the known ones; slicing
     # removes it together with the first category.
     slicer = VectorSlicer(
-        inputCol=f"{column}_all", outputCol=f"{column}_vec", indices=list(range(1, len(kept) + 1))
+        inputCol=f"{column}_all", outputCol=f"{column}_vec", indices=list(range(1, len(labels)))
+    )
+    return [indexer, encoder, slicer]
+
+
+@dataclass
+class TrainingFacts:
+    """What one aggregation tells of the training rows."""
+
+    n: int
+    incomplete: int
+    means: dict[str, float]
+    deviations: dict[str, float]  # of the population
+    categories: dict[str, list[str]]
+
+
+def training_facts(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str | None) -> TrainingFacts:
+    """Counts, moments and categories from one read of ``train``.
+
+    Rows are grouped by category, once for each categorical column, and the moments of the first one's
+    groups are put together.  Only as many groups go to the driver as tell that the solver cannot take them all.
+    """
+    numbers = [*numeric, *([label] if label else [])]
+    incomplete = F.greatest(F.lit(False), *[F.col(c).isNull() for c in [*numbers, *categorical]])
+    entries = [F.struct(F.lit(i).alias("column"), value.cast("string").alias("category"))
+               for i, value in enumerate([F.col(c) for c in categorical] or [F.lit(None)])]
+    rows = train.select(*numbers, incomplete.alias("incomplete"), F.explode(F.array(*entries)).alias("at"))
+    groups = rows.groupBy("at").agg(
+        F.count("*").alias("n"), F.count_if("incomplete").alias("incomplete"),
+        *[F.struct(F.count(c).alias("n"), F.avg(c).alias("mean"), F.var_pop(c).alias("variance")).alias(f"of_{i}")
+          for i, c in enumerate(numbers)],
     )
-    return [indexer, encoder, slicer], kept
+    found = groups.limit(_NORMAL_SOLVER_FEATURES + 2 * len(entries) + 1).collect()
+    named = {c: sorted(g["at"]["category"] for g in found if g["at"]["column"] == i and g["at"]["category"] is not None)
+             for i, c in enumerate(categorical)}
+    _refuse_above_limit(len(numeric) + sum(max(len(labels) - 1, 0) for labels in named.values()))
+    first = [g for g in found if g["at"]["column"] == 0]
+    means, deviations = {}, {}
+    for i, c in enumerate(numbers):
+        parts = [(g[f"of_{i}"]["n"], g[f"of_{i}"]["mean"], g[f"of_{i}"]["variance"]) for g in first if g[f"of_{i}"]["n"]]
+        total = sum(n for n, _, _ in parts)
+        means[c] = math.fsum(n * mean for n, mean, _ in parts) / total if total else 0.0
+        spread = math.fsum(n * (variance + (mean - means[c]) ** 2) for n, mean, variance in parts)
+        deviations[c] = math.sqrt(spread / total) if total else 0.0
+    return TrainingFacts(sum(g["n"] for g in first), sum(g["incomplete"] for g in first), means, deviations, named)
 
 
 def one_hot_drop_first(df: DataFrame, column: str = S.MODALITY) -> DataFrame:
     """``df`` with a 0/1 vector of all categories but the first, in sorted order."""
-    stages, _ = _category_stages(df, column)
-    encoded = PipelineModel(stages).transform(df)
+    facts = training_facts(df, [], [column], None)
+    encoded = PipelineModel(_encoder_stages(df.sparkSession, column, facts.categories[column])).transform(df)
     return encoded.drop(f"{column}_index", f"{column}_all")
 
 
@@ -132,26 +170,21 @@ def build_preprocessor(
     train: DataFrame,
     numeric: Sequence[str] = tuple(NUMERIC_FEATURES),
     categorical: Sequence[str] = tuple(CATEGORICAL_FEATURES),
-    n: int | None = None,
+    facts: TrainingFacts | None = None,
 ) -> PipelineModel:
-    """Fitted scaling and encoding, ending in a ``features`` vector.  ``n`` rows, if known."""
+    """Scaling and encoding, ending in a ``features`` vector.  ``train`` is not read if its facts are known."""
+    spark = train.sparkSession
+    facts = facts or training_facts(train, numeric, categorical, None)
     numbers = VectorAssembler(inputCols=list(numeric), outputCol="num_raw", handleInvalid="error")
-    assembled = numbers.transform(train)
-    scaler = StandardScaler(
-        inputCol="num_raw", outputCol="num_sample", withMean=True, withStd=True
-    ).fit(assembled)
-    # The scaler divides by the sample deviation; the model wants the population one.
-    n = train.count() if n is None else n
-    to_population = ElementwiseProduct(
-        inputCol="num_sample", outputCol="num_vec",
-        scalingVec=Vectors.dense([math.sqrt(n / (n - 1)) if n > 1 else 1.0] * len(numeric)),
-    )
-    stages, vectors, width = [numbers, scaler, to_population], ["num_vec"], len(numeric)
+    # Two points with the mean of the rows, whose sample deviation is the rows' population one.
+    points = [[facts.means[c] + sign * facts.deviations[c] / math.sqrt(2) for c in numeric] for sign in (-1, 1)]
+    scaler = StandardScaler(inputCol="num_raw", outputCol="num_vec", withMean=True, withStd=True).fit(
+        spark.createDataFrame([(Vectors.dense(point),) for point in points], ["num_raw"]))
+    stages, vectors = [numbers, scaler], ["num_vec"]
     for column in categorical:
-        encoding, kept = _category_stages(train, column, width)
+        encoding = _encoder_stages(spark, column, facts.categories[column])
         stages += encoding
-        width += len(kept)
-        vectors += [f"{column}_vec"] if kept else []
+        vectors += [f"{column}_vec"] if encoding else []
     stages.append(VectorAssembler(inputCols=vectors, outputCol="features"))
     return PipelineModel(stages)
 
@@ -173,33 +206,36 @@ def fit_model(
 ) -> PipelineModel:
     """Ridge (squared error plus ``alpha`` times squared weights) or least squares.
 
-    ``train`` is read several times; store or persist it first if it is costly.
+    ``train`` is read for its facts and for the sums of the normal equations; the estimator then counts its
+    rows once more.  Where columns depend on each other, least squares gives the smallest weights that fit best.
     """
+    return _fit(train, model_type, alpha, numeric, categorical)[0]
+
+
+def _fit(
+    train: DataFrame, model_type: str, alpha: float, numeric: Sequence[str], categorical: Sequence[str]
+) -> tuple[PipelineModel, TrainingFacts]:
     kind = model_type.lower()
     if kind not in MODEL_TYPES:
         raise ValueError(f"No model type '{model_type}'; there are {', '.join(MODEL_TYPES)}")
-    inputs = [*numeric, *categorical, LABEL]
-    facts = train.agg(
-        F.count(LABEL).alias("n"),
-        F.stddev_pop(LABEL).alias("std"),
-        F.count_if(F.greatest(*[F.col(c).isNull() for c in inputs])).alias("incomplete"),
-    ).first()
-    if not facts["n"] and not facts["incomplete"]:
+    facts = training_facts(train, numeric, categorical, LABEL)
+    if not facts.n:
         raise ValueError("No training rows")
-    if facts["incomplete"]:
-        raise ValueError(f"{facts['incomplete']} training rows have a missing feature or label")
+    if facts.incomplete:
+        raise ValueError(f"{facts.incomplete} training rows have a missing feature or label")
 
-    preprocessor = build_preprocessor(train, numeric, categorical, facts["n"])
-    _refuse_above_limit(len(feature_names(preprocessor)))
+    preprocessor = build_preprocessor(train, numeric, categorical, facts)
     # The estimator minimises the mean error on a label scaled by its deviation, hence
-    # the factor between its penalty and ``alpha``.
+    # the factor between its penalty and ``alpha``.  The smallest weights are the limit of
+    # ever smaller penalties.
+    penalty = alpha / facts.n if kind == "ridge" else _VANISHING_PENALTY
     regressor = LinearRegression(
         featuresCol="features", labelCol=LABEL, predictionCol=PREDICTION,
         elasticNetParam=0.0, standardization=False, solver="normal",
-        regParam=alpha * facts["std"] / facts["n"] if kind == "ridge" else 0.0,
+        regParam=penalty * facts.deviations[LABEL],
     )
     fitted = regressor.fit(preprocessor.transform(train).select("features", LABEL))
-    return PipelineModel([*preprocessor.stages, fitted])
+    return PipelineModel([*preprocessor.stages, fitted]), facts
 
 
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -274,10 +310,10 @@ def train_and_evaluate(
     """Fit on ``train``; predictions and metrics of ``test`` stay lazy."""
     kept = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = fit_model(kept, model_type, alpha)
-        n_train = kept.count()
+        model, facts = _fit(kept, model_type, alpha, NUMERIC_FEATURES, CATEGORICAL_FEATURES)
     finally:
         kept.unpersist()
+    n_train = facts.n
     predictions = predict(model, test)
     metrics = regression_metrics(predictions).select(
         "*", F.lit(n_train).cast("bigint").alias("n_train")

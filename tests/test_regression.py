@@ -195,3 +195,37 @@ def test_mape_and_constant_target(spark):
     assert flat.agg(R._r2("y", "p")).first()[0] == 1.0
     off = spark.createDataFrame([(1.0, 1.0), (1.0, 2.0)], "y double, p double")
     assert off.agg(R._r2("y", "p")).first()[0] == 0.0
+
+
+def test_dependent_columns_give_the_smallest_weights(spark):
+    draw = np.random.default_rng(11)
+    pdf = pd.DataFrame({"a": draw.normal(5, 2, 300), "b": draw.normal(0, 1, 300)})
+    pdf["twice"], pdf["both"], pdf["same"] = 2 * pdf["a"] + 3, pdf["a"] - pdf["b"], 7.0
+    pdf[S.MODALITY] = draw.choice(["p", "q", "r"], 300)
+    pdf["label"] = 3 * pdf["a"] - pdf["b"] + (pdf[S.MODALITY] == "q") + draw.normal(0, 0.1, 300)
+    numeric = ["a", "b", "twice", "both", "same"]
+    model = R.fit_model(spark.createDataFrame(pdf), "linear", numeric=numeric)
+    scaled = (pdf[numeric] - pdf[numeric].mean()) / pdf[numeric].std(ddof=0).replace(0, 1)
+    x = np.column_stack([scaled, pdf[S.MODALITY] == "q", pdf[S.MODALITY] == "r"]).astype(float)
+    expected = np.linalg.lstsq(x - x.mean(0), pdf["label"] - pdf["label"].mean(), rcond=1e-10)[0]
+    np.testing.assert_allclose(model.stages[-1].coefficients.toArray(), expected, atol=1e-6)
+
+
+def test_facts_of_all_columns_from_one_read(spark):
+    pdf = pd.DataFrame({"x": [1e9, 1e9 + 1, 1e9 + 5, 1e9 + 2], "k": ["b", "a", "b", None], "m": ["u", "v", "v", "u"],
+                        "label": [1.0, 2.0, 4.0, 8.0]})
+    facts = R.training_facts(spark.createDataFrame(pdf), ["x"], ["k", "m"], "label")
+    assert (facts.n, facts.incomplete) == (4, 1)
+    assert facts.categories == {"k": ["a", "b"], "m": ["u", "v"]}
+    assert facts.means == pytest.approx({"x": pdf["x"].mean(), "label": 3.75}, rel=1e-15)
+    assert facts.deviations == pytest.approx({"x": pdf["x"].std(ddof=0), "label": pdf["label"].std(ddof=0)}, rel=1e-12)
+
+
+def test_reads_of_the_training_rows(spark, prepared, tmp_path):
+    prepared.write.parquet(str(tmp_path / "train"))
+    train = spark.read.parquet(str(tmp_path / "train"))
+    reads = spark.sparkContext.accumulator(0)
+    seen = train.rdd.map(lambda row: (reads.add(1), row)[1])
+    R.fit_model(spark.createDataFrame(seen, train.schema))
+    # Facts, normal equations, and the count that the estimator makes for its summary.
+    assert reads.value == 3 * train.count()
