@@ -296,13 +296,17 @@ def coefficient_table(spark: SparkSession, model: PipelineModel) -> DataFrame:
 
 @dataclass
 class Evaluation:
-    """Fitted model, predictions of the test rows and their metrics."""
+    """Fitted model and predictions of the test rows."""
 
     model: PipelineModel
     predictions: DataFrame
-    metrics: DataFrame
     n_train: int
 
+    @property
+    def metrics(self) -> DataFrame:
+        """One row with the errors of the test rows."""
+        return regression_metrics(self.predictions).select("*", F.lit(self.n_train).cast("bigint").alias("n_train"))
+
 
 def train_and_evaluate(
     train: DataFrame, test: DataFrame, model_type: str = "ridge", alpha: float = 1.0
@@ -313,12 +317,7 @@ def train_and_evaluate(
         model, facts = _fit(kept, model_type, alpha, NUMERIC_FEATURES, CATEGORICAL_FEATURES)
     finally:
         kept.unpersist()
-    n_train = facts.n
-    predictions = predict(model, test)
-    metrics = regression_metrics(predictions).select(
-        "*", F.lit(n_train).cast("bigint").alias("n_train")
-    )
-    return Evaluation(model, predictions, metrics, n_train)
+    return Evaluation(model, predict(model, test), facts.n)
 
 
 def save_model(model: PipelineModel, path: str) -> str:

@@ -12,6 +12,7 @@ from tenderlens import schema as S
 from tenderlens.functions import band_order, days_text, money_text, number_column, percent_text, skew_text
 from tenderlens.operators import charts, describe, grouped, outliers
 from tenderlens.operators.quantiles import Request, quantile_answers, quantiles_of
+from tenderlens.plans.tables import Tables
 from tenderlens.sources import kept
 
 
@@ -47,29 +48,29 @@ def _known_quantiles(clean: DataFrame) -> dict[str, dict[str, DataFrame]]:
     }
 
 
-def run_stage2(clean: DataFrame, method: str = "narrow") -> dict[str, DataFrame]:
+def run_stage2(clean: DataFrame, method: str = "narrow") -> Tables:
     """Result tables by name, each lazy and reading only the columns it needs.
 
     The quantiles of all tables are computed up front, in two scans together.  Other methods than ``narrow``
     find them table by table.
     """
     q = defaultdict(lambda: {"method": method}, _known_quantiles(clean) if method == "narrow" else {})
-    return {
-        "central": describe.central_tendency(clean, **q["central"]),
-        "dispersion": describe.dispersion(clean, **q["dispersion"]),
-        "by_modality": grouped.dispersion_by_group(clean, **q["modality"]),
-        "tukey_award": outliers.tukey_summary(clean, S.AWARD, **q["award"]),
-        "tukey_days": outliers.tukey_summary(clean, S.DURATION_DAYS, **q["days"]),
-        "top_award": outliers.top_outliers(clean, S.AWARD, **q["award"]),
-        "top_days": outliers.top_outliers(clean, S.DURATION_DAYS, **q["days"]),
-        "competition": grouped.competition_contrast(clean, **q["competition"]),
-        "award_histogram": charts.log_histogram(clean, **q["histogram"]),
-        "award_density": charts.density_curve(clean, cut=0.0),
-        "award_lines": charts.reference_lines(clean, **q["lines"]),
-        "boxes": charts.boxplot_by_group(clean, **q["modality"]),
-        "competition_points": charts.competition_points(clean),
-        "competition_grid": charts.competition_grid(clean),
-    }
+    return Tables({
+        "central": lambda: describe.central_tendency(clean, **q["central"]),
+        "dispersion": lambda: describe.dispersion(clean, **q["dispersion"]),
+        "by_modality": lambda: grouped.dispersion_by_group(clean, **q["modality"]),
+        "tukey_award": lambda: outliers.tukey_summary(clean, S.AWARD, **q["award"]),
+        "tukey_days": lambda: outliers.tukey_summary(clean, S.DURATION_DAYS, **q["days"]),
+        "top_award": lambda: outliers.top_outliers(clean, S.AWARD, **q["award"]),
+        "top_days": lambda: outliers.top_outliers(clean, S.DURATION_DAYS, **q["days"]),
+        "competition": lambda: grouped.competition_contrast(clean, **q["competition"]),
+        "award_histogram": lambda: charts.log_histogram(clean, **q["histogram"]),
+        "award_density": lambda: charts.density_curve(clean, cut=0.0),
+        "award_lines": lambda: charts.reference_lines(clean, **q["lines"]),
+        "boxes": lambda: charts.boxplot_by_group(clean, **q["modality"]),
+        "competition_points": lambda: charts.competition_points(clean),
+        "competition_grid": lambda: charts.competition_grid(clean),
+    })
 
 
 def _amount_text(variable: str, value: str) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tenderlens import schema as S
 from tenderlens.operators import charts, regression
+from tenderlens.plans.tables import Tables
 from tenderlens.sources import shared_folder
 
 
@@ -22,23 +24,27 @@ class Stage3Result:
     predictions: DataFrame
     metrics: DataFrame
     coefficients: DataFrame
-    charts: dict[str, DataFrame]
+    charts: Tables
 
 
-def executive_summary(clean: DataFrame, predictions: DataFrame, method: str = "narrow") -> dict[str, DataFrame]:
-    """The tables of the four-panel summary."""
+def _summary_plans(clean: DataFrame, predictions: DataFrame, method: str) -> dict[str, Callable[[], DataFrame]]:
     return {
-        "price_density": charts.density_curve(clean, S.PRICE),
-        "award_density": charts.density_curve(clean, S.AWARD),
-        "award_ratio": charts.award_ratio_points(clean),
-        "award_ratio_axis": charts.award_ratio_axis(clean),
-        "error_histogram": charts.error_histogram(predictions),
-        "error_density": charts.error_density(predictions),
-        "risk_alerts": charts.risk_alerts(predictions),
-        "risk_axis": charts.risk_axis(predictions, method=method),
+        "price_density": lambda: charts.density_curve(clean, S.PRICE),
+        "award_density": lambda: charts.density_curve(clean, S.AWARD),
+        "award_ratio": lambda: charts.award_ratio_points(clean),
+        "award_ratio_axis": lambda: charts.award_ratio_axis(clean),
+        "error_histogram": lambda: charts.error_histogram(predictions),
+        "error_density": lambda: charts.error_density(predictions),
+        "risk_alerts": lambda: charts.risk_alerts(predictions),
+        "risk_axis": lambda: charts.risk_axis(predictions, method=method),
     }
 
 
+def executive_summary(clean: DataFrame, predictions: DataFrame, method: str = "narrow") -> Tables:
+    """The tables of the four-panel summary."""
+    return Tables(_summary_plans(clean, predictions, method))
+
+
 def run_stage3(
     clean: DataFrame, model_path: str, test_size: float = 0.2, seed: int = 42,
     alpha: float = 1.0, model_type: str = "ridge", id_column: str = S.ID,
@@ -63,11 +69,11 @@ def run_stage3(
         predictions=predictions,
         metrics=regression.regression_metrics(predictions).select("*", trained),
         coefficients=coefficients,
-        charts={
-            "prediction_points": charts.prediction_points(predictions),
-            "prediction_axis": charts.prediction_axis(predictions),
-            "coefficient_bars": charts.coefficient_bars(coefficients),
-            "risk_alerts_by_error": charts.risk_alerts_by_error(predictions),
-            **executive_summary(clean, predictions),
-        },
+        charts=Tables({
+            "prediction_points": lambda: charts.prediction_points(predictions),
+            "prediction_axis": lambda: charts.prediction_axis(predictions),
+            "coefficient_bars": lambda: charts.coefficient_bars(coefficients),
+            "risk_alerts_by_error": lambda: charts.risk_alerts_by_error(predictions),
+            **_summary_plans(clean, predictions, "narrow"),
+        }),
     )
