@@ -286,6 +286,27 @@ def kde_log_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(charts.density_curve(clean_table(spark, sf_dir), S.PRICE), _DENSITY_DIGITS)
 
 
+_BINNED_SQL = f"""
+xs as ({_LOG_AWARD}),
+m as (select count(x) as n, stddev_samp(x) * power(count(x), -0.2e0) as bw, min(x) as low, max(x) as high from xs),
+w as (select *, sqrt(power(bw, 3) * 8 * sqrt(2 * pi()) * 1e-6) as cell from m),
+places as (select (x - low) / cell as p from xs, w),
+cells as (select floor(p) as c, sum(1 - (p - floor(p))) as l, sum(p - floor(p)) as r from places group by 1),
+nodes as (select low + c * cell as x, l as weight from cells, w union all select low + (c + 1) * cell, r from cells, w),
+grid as (select punto, n, bw, low - 3e0 * bw + punto * ((high - low + 6e0 * bw) / 199) as g
+  from w, (select unnest(range(200)) as punto))
+select cast(punto as int) as punto, round(any_value(g), 6) as x,
+  round(sum(weight * exp(-0.5e0 * power((g - x) / bw, 2))) / (any_value(n) * any_value(bw) * sqrt(2 * pi())), 8)
+    as densidad
+from grid, nodes group by punto
+"""
+
+
+@_query(with_clean("," + _BINNED_SQL))
+def kde_log_binned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(charts.density_curve(clean_table(spark, sf_dir), binned=True), _DENSITY_DIGITS)
+
+
 @_query(with_clean("""
 select round(avg(valor_total_adjudicacion), 4) as media,
   round(median(valor_total_adjudicacion), 4) as mediana from clean

@@ -153,3 +153,31 @@ def test_risk(spark, predictions):
     assert charts.risk_axis(predictions).first()[0] == 5000.0
     far = predictions.select((F.col("predicho") * 1e3).alias("predicho"))
     assert charts.risk_axis(far).first()[0] == pytest.approx(np.percentile(pdf["predicho"] / 1e3, 98))
+
+
+@pytest.mark.parametrize("values", [
+    list(np.random.default_rng(4).lognormal(3, 1, 3000)), [1.0, 2.0, 4.0], [5.0] * 50 + [5.1], list(range(1, 400)),
+])
+@pytest.mark.parametrize("log", [True, False])
+def test_binned_density_is_within_its_tolerance(spark, values, log):
+    table = spark.createDataFrame([(float(v),) for v in values], "x double")
+    exact = charts.density_curve(table, "x", log=log).collect()
+    for tolerance in (1e-6, 1e-3):
+        binned = charts.density_curve(table, "x", log=log, binned=True, tolerance=tolerance).collect()
+        assert [r["x"] for r in binned] == [r["x"] for r in exact]
+        assert max(abs(a["densidad"] - b["densidad"]) for a, b in zip(exact, binned)) <= tolerance
+
+
+def test_binned_density_counts_each_row_once(spark):
+    table = spark.range(200_000).select((F.rand(3) + 1).alias("x"))
+    moments = table.select(F.log10("x").alias("x"))
+    g = F.struct(F.lit(0.0).alias("low"), F.lit(0.001).alias("cell"))
+    nodes = charts._on_cells(moments, g)
+    assert nodes.count() <= 2 * 303
+    assert nodes.agg(F.sum("weight")).first()[0] == pytest.approx(200_000)
+
+
+@pytest.mark.parametrize("values", [[], [3.0], [2.0, 2.0]])
+def test_binned_density_without_spread(spark, values):
+    table = spark.createDataFrame([(v,) for v in values], "x double")
+    assert charts.density_curve(table, "x", binned=True).collect() == []
