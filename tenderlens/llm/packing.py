@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tenderlens.llm import packing_plan, vocabularies
 from tenderlens.llm.common import arrow_function, block, blocks_of, stored, tidy
 
-_BLOCK = 8192
+_BLOCK = 1024
 
 
 def cut_pieces(
@@ -59,7 +59,8 @@ def assign(pieces: DataFrame, capacity: int = 2048, tolerance: float = 0.02) ->
 
     ``pieces`` is a stored table with a column ``length`` from 1 to ``capacity``.  Sequence
     numbers have no gaps.  Equal rows are interchangeable; no rows give no sequences.  At most
-    ``tolerance`` of the tokens are packed best fit, the others by the configuration program.
+    ``tolerance`` of the tokens are packed best fit, the others by the configuration program, unless
+    best fit alone needs fewer sequences.
     """
     spark = pieces.sparkSession
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}

@@ -51,3 +51,51 @@ def test_no_length_is_used_too_often():
     left = np.zeros(101, int)
     left[[30, 20, 7]] = [2, 1, 9]
     assert sorted(packing_plan.bounded_sequence(price, left, 100)) == [7, 7, 20, 30, 30]
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_never_more_sequences_than_best_fit_nor_fewer_than_the_dual_bound(seed):
+    draw = np.random.default_rng(seed)
+    capacity = int(draw.integers(64, 400))
+    lengths = draw.choice(np.arange(1, capacity + 1), int(draw.integers(1, capacity)), replace=False)
+    histogram = {int(l): int(n) for l, n in zip(lengths, draw.integers(1, 300, len(lengths)))}
+    demand = np.zeros(capacity + 1, np.int64)
+    demand[list(histogram)] = list(histogram.values())
+    alone = packing_plan._Builder(demand)
+    packing_plan._best_fit(alone, capacity)
+    slots = packing_plan.plan(histogram, capacity)
+    assert slots.bound <= slots.sequences + 1e-6 and slots.sequences <= alone.sequences
+    assert slots.bound >= sum(l * n for l, n in histogram.items()) / capacity - 1e-6
+
+
+def test_weights_grow_where_the_tokens_do_not_bound():
+    # Two pieces of 40 fill a sequence of 100 and nothing else fits, so 50 sequences are needed, not 40.
+    slots = packing_plan.plan({40: 100}, 100)
+    assert slots.sequences == 50 and slots.bound == pytest.approx(50)
+    # A piece over half of the sequence needs one of its own: 60 of them bound the plan, not 46 by tokens.
+    demand = np.zeros(101, np.int64)
+    demand[[51, 52, 30]] = [30, 30, 50]
+    solution = packing_plan.solve_weights(demand, 100, 0.0, rate=0.3, near=0.0)
+    assert solution.log_weight[30] < min(solution.log_weight[51], solution.log_weight[52]) - 0.1
+    assert (demand * np.arange(101)).sum() / 100 + 1 < solution.bound <= 60 + 1e-6
+
+
+def test_fractional_solution_covers_to_the_tolerance():
+    draw = np.random.default_rng(4)
+    demand = np.zeros(513, np.int64)
+    demand[1:300] = draw.integers(1, 10_000, 299)
+    solution = packing_plan.solve_weights(demand, 512, 0.02)
+    assert solution.uncovered <= 0.02
+    used, number = np.zeros(513), 0
+    for lengths, uses in solution.portions(int(solution.bound)):
+        assert sum(lengths) <= 512
+        np.add.at(used, lengths, uses)
+        number += uses
+    assert abs(number - solution.bound) <= 1 + solution.bound / packing_plan._USES + 1
+    missing = (np.maximum(0, demand - used) * np.arange(513)).sum() / (demand * np.arange(513)).sum()
+    assert missing <= 0.1  # the rounding to portions adds to the tolerance
+
+
+def test_no_lengths():
+    slots = packing_plan.plan({}, 100)
+    assert slots.sequences == 0 and len(slots.rank) == 0 and slots.bound == 0
