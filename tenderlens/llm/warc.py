@@ -46,8 +46,8 @@ def write_archives(
     """Write ``page_id``, ``url`` and ``html`` of all pages as gzipped archives below ``path``.
 
     A file has at most ``per_file`` records of at most about ``segment`` bytes.  NULL html is the
-    empty payload and a NULL url the empty one; repeated rows are records of their own, and NULL ids stay
-    NULL.  Other columns are not read.
+    empty payload and a NULL url the empty one; control characters of a url are written as ``%0A``.  Repeated rows
+    are records of their own, and NULL ids stay NULL.  Other columns are not read.
     """
     pages = pages.select("page_id", "url", "html")
     other = stored(revisits(pages, least).select(F.col("page_id").alias("r_id"), F.col("sha").alias("r_sha"), "refers_to")

@@ -2,15 +2,21 @@
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 END = b"\r\n\r\n"
+_CONTROL = re.compile(r"[\x00-\x1f\x7f]")
 
 
 def headers(lines: dict[str, str], first: str) -> bytes:
-    """A block of named fields after a first line, with the empty line that ends it."""
-    return "\r\n".join([first, *(f"{k}: {v}" for k, v in lines.items()), "", ""]).encode()
+    """A block of named fields after a first line, with the empty line that ends it.
+
+    Control characters in a value, line breaks among them, are written as in addresses: ``%0A``.
+    """
+    safe = {k: _CONTROL.sub(lambda c: f"%{ord(c[0]):02X}", v) for k, v in lines.items()}
+    return "\r\n".join([first, *(f"{k}: {v}" for k, v in safe.items()), "", ""]).encode()
 
 
 def read_headers(data: bytes, start: int) -> tuple[str, dict[str, str], int]:
