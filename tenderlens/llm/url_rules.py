@@ -6,8 +6,9 @@ carries the stack of rules that the last opened rule stands in; the rules of the
 hold the key are those whose interval is still open.  Paths are swept first, which gives every
 address the rule paths that begin its own path; hosts are swept within each rule path.
 
-Keys are dealt out by sorted ranges with a salt, so a host with a third of all rows is cut into
-several ranges, and each range starts with the rules that are open at its first key.
+Keys and rules are dealt out together by sorted ranges with a salt, so a host with a third of all rows is
+cut into several ranges, and each range starts with the rules that are open at its first key.  These are
+found by joining the beginnings of that key with the rules by equality.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -47,20 +48,22 @@ def sweep(keys: DataFrame, prefixes: DataFrame) -> DataFrame:
 
     ``keys`` has a column ``key`` without NULLs, and the column ``prefix`` of ``prefixes`` has none.
     """
-    columns = F.struct(*keys.columns).alias("row")
-    dealt = keys.select(columns, F.xxhash64(*keys.columns).alias("salt"))
-    dealt = stored(dealt.repartitionByRange(F.col("row.key"), F.col("salt"))
-                   .select("row", F.spark_partition_id().alias("range")))
-    ranges = dealt.groupBy("range").agg(F.min("row.key").alias("low"), F.max("row.key").alias("high"))
-    met = F.col("prefix").between(F.col("low"), F.col("high")) | F.startswith(F.col("low"), F.col("prefix"))
-    # One row per range, so at most as many as shuffle partitions.
-    opened = _stacks(prefixes).join(F.broadcast(ranges), met)
-    no_row = F.lit(None).cast(dealt.schema["row"].dataType)
-    events = dealt.select("range", F.col("row.key").alias("at"), F.lit(1).alias("kind"), "row",
-                          F.lit(None).cast("array<string>").alias("stack"))
-    events = events.union(opened.select(
-        "range", F.col("prefix"), F.lit(0), no_row, F.col("stack")
-    ))
+    stacks = stored(_stacks(prefixes))
+    row = F.struct(*keys.columns)
+    found = keys.select(F.col("key").alias("at"), F.lit(1).alias("kind"), F.xxhash64(*keys.columns).alias("salt"),
+                        row.alias("row"), F.lit(None).cast("array<string>").alias("stack"))
+    no_row = F.lit(None).cast(found.schema["row"].dataType)
+    rules = stacks.select(F.col("prefix"), F.lit(0), F.lit(0).cast("bigint"), no_row, F.col("stack"))
+    events = found.union(rules).repartitionByRange("at", "kind", "salt")
+    events = stored(events.select(F.spark_partition_id().alias("range"), "at", "kind", "row", "stack"))
+
+    # The longest rule that begins the first key of a range has all others that do in its stack.
+    low = events.groupBy("range").agg(F.min("at").alias("low"))
+    parts = low.select("range", "low", F.explode(F.sequence(F.lit(0), F.length("low"))).alias("n")).select(
+        "range", "low", F.substring("low", F.lit(1), F.col("n")).alias("part"))
+    opened = parts.join(stacks, F.col("part") == F.col("prefix")).groupBy("range", "low").agg(
+        F.max_by("stack", F.length("prefix")).alias("stack"))
+    events = events.union(opened.select("range", "low", F.lit(-1), no_row, "stack"))
     so_far = Window.partitionBy("range").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
     swept = events.select("kind", "row", F.last("stack", ignorenulls=True).over(so_far).alias("stack")).where("kind = 1")
     still_open = F.filter(F.coalesce("stack", F.array().cast("array<string>")),
