@@ -46,12 +46,13 @@ def _recent(rows: DataFrame, moment: Column, limit: int) -> DataFrame:
     newest_day = Window.partitionBy(F.lit(1)).orderBy(F.desc("day"))
     days = counts.groupBy("day").agg(F.sum("n").alias("n")).withColumn("newer", F.sum("n").over(newest_day))
     missing = (F.lit(limit) - F.col("newer") + F.col("n")).alias("missing")
-    crossing = days.where(F.col("newer") >= limit).agg(F.max(F.struct("day", missing))).scalar()
-    newest_second = Window.partitionBy(F.lit(1)).orderBy(F.desc("second"))
-    seconds = counts.where(F.col("day") == crossing["day"]).withColumn("newer", F.sum("n").over(newest_second))
-    cutoff = seconds.where(F.col("newer") >= crossing["missing"]).agg(F.max("second")).scalar()
-    newer = (day > crossing["day"]) | ((day == crossing["day"]) & (second >= cutoff))
-    return rows.where(F.coalesce(crossing.isNull() | newer, F.lit(False)))
+    crossing = days.where(F.col("newer") >= limit).agg(F.max(F.struct("day", missing)).alias("last"))  # one row
+    newest_second = Window.partitionBy("day").orderBy(F.desc("second"))
+    seconds = counts.join(F.broadcast(crossing), F.col("day") == F.col("last.day"))
+    seconds = seconds.withColumn("newer", F.sum("n").over(newest_second)).where(F.col("newer") >= F.col("last.missing"))
+    cutoff = seconds.agg(F.max(F.struct("day", "second"))).scalar()
+    recent = day.isNotNull() & (F.struct(day.alias("day"), second.alias("second")) >= cutoff)
+    return rows.where(F.coalesce(cutoff.isNull() | recent, F.lit(False)))
 
 
 def extract_contracts(
