@@ -51,6 +51,17 @@ def mode_smallest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(describe.smallest_mode(counts), {"moda": 6})
 
 
+_PRICES = ["l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_suppkey"]
+
+
+@_query(_each(_PRICES, """
+select '{c}' as variable,
+  cast((select {c} from lineitem where {c} is not null group by {c} order by count(*) desc, {c} limit 1) as double) as moda
+"""))
+def modes_by_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return describe.exact_modes(table(spark, sf_dir, "lineitem"), _PRICES)
+
+
 @_query("""
 select event_type, count(value) as n, round(skewness(value), 6) as skewness from events group by event_type
 """)

@@ -17,6 +17,9 @@ SKEW_RIGHT = "Asimetría Positiva (Sesgo a la derecha)"
 SKEW_LEFT = "Asimetría Negativa (Sesgo a la izquierda)"
 SKEW_NONE = "Aproximadamente Simétrica"
 
+# Buckets of all columns together in the search for modes: so many rows are broadcast at most.
+MODE_BUCKETS = 1 << 18
+
 CENTRAL_SCHEMA = (
     "variable string, media double, mediana double, moda double, skewness double, "
     "divergencia_media_vs_mediana_pct double, interpretacion_sesgo string"
@@ -78,13 +81,53 @@ def smallest_mode(counts: DataFrame) -> DataFrame:
     )
 
 
+def exact_modes(df: DataFrame, columns: Sequence[str], buckets: int = MODE_BUCKETS) -> DataFrame:
+    """``(variable, moda)`` as ``smallest_mode``, without counting every distinct value.
+
+    Values are hashed into ``buckets`` (of all columns together), and a bucket keeps its rows, least and
+    largest value.  A bucket of one value is a frequency.  One of several values holds none as frequent as
+    its rows, so it matters only if it has more rows than the best frequency known: that of a pure
+    bucket, or of the values of the fullest mixed one, which are counted first.  Only the
+    values of mixed buckets beyond it are counted in full.  Three scans, whose shuffles carry a row per bucket and
+    those values; they are few where the mode has more rows than an average bucket, and all
+    that share buckets where hardly any value repeats.  Columns without values have no row.
+    """
+    if not columns:
+        return df.sparkSession.createDataFrame([], "variable string, moda double")
+    each = 1 << (max(1, buckets // len(columns)).bit_length() - 1)
+    values = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("column"), (number_column(df, c) + F.lit(0.0)).alias("value"))
+        for i, c in enumerate(columns)])))
+    # The bucket is never NULL, so joins add no filters below the count, which then runs once.
+    place = F.col("column").cast("bigint") * each + F.xxhash64("value").bitwiseAND(F.lit(each - 1))
+    values = values.where(is_present(F.col("value"))).select("column", "value", place.alias("bucket"))
+    counted = values.groupBy("column", "bucket").agg(
+        F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+    pure = F.col("low") == F.col("high")
+
+    def frequencies(chosen: DataFrame) -> DataFrame:
+        rows = values.join(F.broadcast(chosen), "bucket", "left_semi")
+        return rows.groupBy("column", "value").agg(F.count("*").alias("n"))
+
+    fullest = counted.where(~pure).groupBy("column").agg(F.max_by("bucket", F.struct("n", "bucket")).alias("bucket"))
+    known = counted.where(pure).select("column", F.col("low").alias("value"), "n")
+    known = known.unionByName(frequencies(fullest.select("bucket")))
+    best = known.groupBy(F.col("column").alias("of")).agg(F.max("n").alias("best"))  # a row per column
+    beyond = counted.where(~pure).join(F.broadcast(best), (F.col("column") == F.col("of")) & (F.col("n") > F.col("best")))
+    found = known.unionByName(frequencies(beyond.select("bucket")))
+    names = F.array(*[F.lit(c) for c in columns])
+    return found.groupBy("column").agg(F.max_by("value", F.struct("n", -F.col("value"))).alias("moda")).select(
+        F.element_at(names, F.col("column") + 1).alias("variable"), "moda")
+
+
 def central_tendency(
     df: DataFrame, columns: Sequence[str] = tuple(S.STATISTICS_COLUMNS), method: str = "narrow",
     medians: DataFrame | None = None,
 ) -> DataFrame:
     """Mean, median, mode, adjusted skewness and the distance between mean and median.
 
-    ``medians`` (``variable``, ``mediana``) if they are known already.
+    ``medians`` (``variable``, ``mediana``) if they are known already; modes are then found without
+    counting every distinct value, which medians and modes share otherwise.
     """
     present = [c for c in columns if c in df.columns]
     if not present:
@@ -93,17 +136,20 @@ def central_tendency(
     moments = moment_rows(values, present, {
         "n": F.count, "media": F.avg, "g1": F.skewness, "low": F.min, "high": F.max,
     }).where(F.col("n") > 0)
-    counts = value_counts(values, present)
     if medians is None:
+        counts = value_counts(values, present)
+        modes = smallest_mode(counts)
         medians = exact_quantiles(
             counts, F.col("value"), {"mediana": 0.5}, ["variable"],
             weight=F.col("n"), method=method, groups_bounded=True,
         )
+    else:
+        modes = exact_modes(values, present)
     skewness = adjusted_skewness(F.col("n"), F.col("g1"), F.col("low"), F.col("high"))
     distance = (F.col("media") - F.col("mediana")) / F.abs("mediana") * 100
     return (
         moments.join(F.broadcast(medians), "variable")
-        .join(F.broadcast(smallest_mode(counts)), "variable")
+        .join(F.broadcast(modes), "variable")
         .withColumn("skewness", skewness)
         .select(
             "variable", "media", "mediana", "moda", "skewness",
