@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tenderlens import schema as S
 from tenderlens.functions import number_column
-from tenderlens.operators.quantiles import exact_quantiles, few_groups
+from tenderlens.operators.quantiles import exact_quantiles, few_groups, first_digit, with_order_code
 
 # exp(-z*z/2) is zero in double precision beyond this many bandwidths.
 _KERNEL_REACH = 38.7
@@ -184,24 +184,28 @@ def reference_lines(
     return df.agg(F.avg(amount).alias("media")).select("media", median.scalar().alias("mediana"))
 
 
-def _boxes(
-    df: DataFrame, value: str, key: str, k: float, method: str, quartiles: DataFrame | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Rows with the box of their group, and the boxes."""
-    values = df.where(F.col(key).isNotNull()).select("*", number_column(df, value).alias("_x"))
-    values = values.where(F.col("_x").isNotNull())
-    few = few_groups(values, [key])
+def _fences_of(
+    values: DataFrame, key: str, k: float, method: str, quartiles: DataFrame | None
+) -> tuple[DataFrame, bool]:
+    """Quartiles and fences of ``_x`` per group, and whether the groups are few enough to broadcast."""
     if quartiles is None:
+        few = few_groups(values, [key])
         quartiles = exact_quantiles(
             values, F.col("_x"), {"q1": 0.25, "mediana": 0.5, "q3": 0.75}, [key], method=method,
             groups_bounded=few,
         )
+    else:
+        few = few_groups(quartiles, [key])
     spread = F.col("q3") - F.col("q1")
-    boxes = quartiles.select(
+    return quartiles.select(
         "*", (F.col("q1") - k * spread).alias("_low"), (F.col("q3") + k * spread).alias("_high")
-    )
-    side = F.broadcast(boxes) if few else boxes
-    return values.join(side, key), boxes
+    ), few
+
+
+def _present_values(df: DataFrame, value: str, key: str) -> DataFrame:
+    """The rows that have a group and a value, which is ``_x``."""
+    values = df.where(F.col(key).isNotNull()).select("*", number_column(df, value).alias("_x"))
+    return values.where(F.col("_x").isNotNull())
 
 
 def boxplot_by_group(
@@ -212,19 +216,47 @@ def boxplot_by_group(
 
     A whisker ends at the most extreme value within the fences, or at the box if no
     value lies between fence and box.  ``quartiles`` (the key, ``q1``, ``mediana``, ``q3``) if they are known already.
+
+    The rows are counted per group and first digit of the value's code, with sum, least and largest
+    value, and only these cells are joined with the boxes.  A cell lies within the fences, beyond
+    them, or across one, as at most two of a group do; only the values of those are looked at again.
     """
-    rows, _ = _boxes(df, value, key, k, method, quartiles)
+    values = _present_values(df, value, key).select(F.col(key).alias("_key"), "_x")
+    boxes, few = _fences_of(values, "_key", k, method, quartiles and quartiles.withColumnRenamed(key, "_key"))
+    hint = F.broadcast if few else (lambda table: table)
     x = F.col("_x")
-    inside = x.between(F.col("_low"), F.col("_high"))
+    coded = with_order_code(values, "_x", "_code").select("_key", "_x", first_digit("_code").alias("_cell"))
+    cells = coded.groupBy("_key", "_cell").agg(
+        F.count("*").alias("n"), F.sum(x).alias("sum"), F.min(x).alias("least"), F.max(x).alias("most"))
+    cells = cells.join(hint(boxes), "_key")
+    low, high = F.col("_low"), F.col("_high")
+    within = (F.col("least") >= low) & (F.col("most") <= high)
+    beyond = (F.col("most") < low) | (F.col("least") > high)
+    box = ["_key", "q1", "mediana", "q3", "_low", "_high"]
+    groups = cells.groupBy(*box).agg(
+        F.sum("n").alias("n"), (F.sum("sum") / F.sum("n")).alias("media"),
+        F.min(F.when(within, F.col("least"))).alias("least"), F.max(F.when(within, F.col("most"))).alias("most"),
+        F.sum(F.when(beyond, F.col("n")).otherwise(0)).alias("out"),
+        F.collect_list(F.when(~within & ~beyond, F.col("_cell"))).alias("across"), F.min("_cell").alias("any"))
+    # A group without such a cell looks at one that changes nothing, so that no group is lost.
+    crossed = F.size("across") > 0
+    targets = groups.withColumn("crossed", crossed).select(
+        "*", F.explode(F.when(crossed, F.col("across")).otherwise(F.array("any"))).alias("_cell")).drop("across", "any")
+    # Too many groups to broadcast: count first, so that a frequent value moves as one row.
+    rows = coded.withColumn("rows", F.lit(1)) if few else coded.groupBy("_key", "_cell", "_x").agg(
+        F.count("*").alias("rows"))
+    inside = x.between(low, high)
     return (
-        rows.groupBy(key, "q1", "mediana", "q3").agg(
-            F.count("*").alias("n"), F.avg(x).alias("media"),
-            F.least(F.min(F.when(inside, x)), F.col("q1")).alias("bigote_inferior"),
-            F.greatest(F.max(F.when(inside, x)), F.col("q3")).alias("bigote_superior"),
-            F.count_if(~inside).alias("atipicos"),
+        rows.join(hint(targets), ["_key", "_cell"])
+        .groupBy(*box, "n", "media", "least", "most", "out").agg(
+            F.min(F.when(inside, x)).alias("x_least"), F.max(F.when(inside, x)).alias("x_most"),
+            F.sum(F.when(F.col("crossed") & ~inside, F.col("rows")).otherwise(0)).alias("x_out"))
+        .select(
+            F.col("_key").alias(key), "n", "media", "q1", "mediana", "q3",
+            F.least("least", "x_least", "q1").alias("bigote_inferior"),
+            F.greatest("most", "x_most", "q3").alias("bigote_superior"),
+            (F.col("out") + F.col("x_out")).alias("atipicos"),
         )
-        .select(key, "n", "media", "q1", "mediana", "q3",
-                "bigote_inferior", "bigote_superior", "atipicos")
         .orderBy(F.desc("mediana"), key)
     )
 
@@ -234,7 +266,9 @@ def boxplot_fliers(
     method: str = "narrow",
 ) -> DataFrame:
     """The rows beyond the fences of their own group."""
-    rows, _ = _boxes(df, value, key, k, method)
+    values = _present_values(df, value, key)
+    boxes, few = _fences_of(values, key, k, method, None)
+    rows = values.join(F.broadcast(boxes) if few else boxes, key)
     beyond = ~F.col("_x").between(F.col("_low"), F.col("_high"))
     return rows.where(beyond).select(*df.columns)
 

@@ -92,6 +92,11 @@ def _prefix(digits: int) -> Column:
     return F.shiftright(_CODE, _DIGIT_BITS * (_DIGITS - digits)).alias(f"_p{digits}")
 
 
+def first_digit(code: str) -> Column:
+    """The first of the four digits of a code: runs of neighbouring values, 65,536 at most."""
+    return F.shiftright(code, _DIGIT_BITS * (_DIGITS - 1))
+
+
 def _narrow(*digits_before: str) -> Column:
     """Wanted ranks that fall into this row's run of values, counted from its start.
 
