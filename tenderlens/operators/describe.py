@@ -81,8 +81,8 @@ def smallest_mode(counts: DataFrame) -> DataFrame:
     )
 
 
-def exact_modes(df: DataFrame, columns: Sequence[str], buckets: int = MODE_BUCKETS) -> DataFrame:
-    """``(variable, moda)`` as ``smallest_mode``, without counting every distinct value.
+def mode_candidates(df: DataFrame, columns: Sequence[str], buckets: int = MODE_BUCKETS) -> DataFrame:
+    """``(column, value, n)``: values with their frequency, all modes among them; ``column`` is a place in ``columns``.
 
     Values are hashed into ``buckets`` (of all columns together), and a bucket keeps its rows, least and
     largest value.  A bucket of one value is a frequency.  One of several values holds none as frequent as
@@ -90,10 +90,8 @@ def exact_modes(df: DataFrame, columns: Sequence[str], buckets: int = MODE_BUCKE
     bucket, or of the values of the fullest mixed one, which are counted first.  Only the
     values of mixed buckets beyond it are counted in full.  Three scans, whose shuffles carry a row per bucket and
     those values; they are few where the mode has more rows than an average bucket, and all
-    that share buckets where hardly any value repeats.  Columns without values have no row.
+    that share buckets where hardly any value repeats.  A value may be there twice.
     """
-    if not columns:
-        return df.sparkSession.createDataFrame([], "variable string, moda double")
     each = 1 << (max(1, buckets // len(columns)).bit_length() - 1)
     values = df.select(F.inline(F.array(*[
         F.struct(F.lit(i).alias("column"), (number_column(df, c) + F.lit(0.0)).alias("value"))
@@ -114,7 +112,17 @@ def exact_modes(df: DataFrame, columns: Sequence[str], buckets: int = MODE_BUCKE
     known = known.unionByName(frequencies(fullest.select("bucket")))
     best = known.groupBy(F.col("column").alias("of")).agg(F.max("n").alias("best"))  # a row per column
     beyond = counted.where(~pure).join(F.broadcast(best), (F.col("column") == F.col("of")) & (F.col("n") > F.col("best")))
-    found = known.unionByName(frequencies(beyond.select("bucket")))
+    return known.unionByName(frequencies(beyond.select("bucket")))
+
+
+def exact_modes(df: DataFrame, columns: Sequence[str], buckets: int = MODE_BUCKETS) -> DataFrame:
+    """``(variable, moda)`` as ``smallest_mode``, from ``mode_candidates`` instead of all distinct values.
+
+    Columns without values have no row.
+    """
+    if not columns:
+        return df.sparkSession.createDataFrame([], "variable string, moda double")
+    found = mode_candidates(df, columns, buckets)
     names = F.array(*[F.lit(c) for c in columns])
     return found.groupBy("column").agg(F.max_by("value", F.struct("n", -F.col("value"))).alias("moda")).select(
         F.element_at(names, F.col("column") + 1).alias("variable"), "moda")
