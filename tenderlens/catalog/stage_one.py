@@ -225,8 +225,7 @@ def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(with_clean(f"select {_RAW} from clean"))
 def clean_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = raw_contracts(spark, sf_dir)
-    return cleaning.clean_contracts(raw, order=dedup_order()).select(*S.RAW_COLUMNS)
+    return clean_view(spark, sf_dir).select(*S.RAW_COLUMNS)
 
 
 @_query(with_raw("""

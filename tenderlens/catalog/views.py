@@ -15,8 +15,6 @@ from tenderlens import schema as S
 from tenderlens.operators import cleaning, features
 from tenderlens.sources import read_clean, shared_folder, write_clean
 
-_TIES = ["k_supp", "k_ext", "k_disc", "k_tax"]
-
 # Which joins a column needs; every other column comes from the lines themselves.
 _FROM_SUPPLIERS = {S.ENTITY, S.CITY, S.REGION}
 _FROM_ORDERS = {S.MODALITY}
@@ -33,12 +31,20 @@ def _competition(lines: DataFrame) -> DataFrame:
     return lines.groupBy(F.col("l_orderkey").alias("key")).agg(bidders.alias("bidders"))
 
 
-def _order_facts(spark: SparkSession, sf_dir: str, columns: set[str]) -> DataFrame | None:
+def _order_facts(spark: SparkSession, sf_dir: str, columns: set[str], unique: bool) -> DataFrame | None:
     """What the lines look up by order, in one table with one row per order.
 
     One join instead of two lets the planner split a very large order without another shuffle.
+    ``unique`` keeps one row where an order is given several times.
     """
-    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), "o_orderpriority")
+    priority = F.col("o_orderpriority")
+    kind = (
+        F.when(priority == "1-URGENT", 1).when(priority == "2-HIGH", 2)
+        .when(priority == "3-MEDIUM", 3).when(priority == "4-NOT SPECIFIED", 4)
+    )
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), kind.alias("kind"))
+    if unique:
+        orders = orders.groupBy("key").agg(F.max("kind").alias("kind"))
     competition = _competition(table(spark, sf_dir, "lineitem"))
     if not columns & _FROM_COMPETITION:
         return orders if columns & _FROM_ORDERS else None
@@ -46,56 +52,79 @@ def _order_facts(spark: SparkSession, sf_dir: str, columns: set[str]) -> DataFra
     return competition.join(orders, "key", "left") if columns & _FROM_ORDERS else competition
 
 
-def raw_contracts(
-    spark: SparkSession, sf_dir: str, columns: Sequence[str] = tuple(S.RAW_COLUMNS)
+def _suppliers(spark: SparkSession, sf_dir: str, unique: bool) -> tuple[DataFrame, DataFrame]:
+    """Suppliers and nations with the columns that the lines look up."""
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    if unique:
+        return suppliers.dropDuplicates(["s_suppkey"]), nations.dropDuplicates(["n_nationkey"])
+    return suppliers, nations
+
+
+def _looked_up(
+    rows: DataFrame, spark: SparkSession, sf_dir: str, columns: set[str],
+    order: str, supplier: str, quantity: str, unique: bool = False,
 ) -> DataFrame:
-    """The raw contracts with ``columns`` and the tie-breaking ``k_`` columns.
+    """``rows`` with those of ``columns`` that come from other tables than the lines.
 
-    All lookups are left joins on unique keys, so a join that no column needs can be
-    left out without changing a row.
+    ``order``, ``supplier`` and ``quantity`` name the columns of ``rows`` that hold a line's keys and its quantity.
+    All lookups are left joins, so a join that no column needs can be left out without changing a row.
     """
-    lines = table(spark, sf_dir, "lineitem")
-    rows = lines
-    by_order = _order_facts(spark, sf_dir, set(columns))
+    found: dict[str, Column] = {}
+    by_order = _order_facts(spark, sf_dir, columns, unique)
     if by_order is not None:
-        rows = rows.join(by_order, F.col("l_orderkey") == F.col("key"), "left")
-    if _FROM_SUPPLIERS & set(columns):
-        suppliers = table(spark, sf_dir, "supplier").join(
-            table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"), "left"
-        ).select("s_suppkey", "s_name", "n_name", "n_regionkey")
-        rows = rows.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"), "left")
-
+        rows = rows.join(by_order, F.col(order) == F.col("key"), "left")
+        kind = F.col("kind")
+        found[S.MODALITY] = (
+            F.when(F.col(quantity) == 4, None)
+            .when(kind == 1, "Licitación Pública").when(kind == 2, "Selección Abreviada")
+            .when(kind == 3, "Mínima Cuantía").when(kind == 4, "Contratación Directa")
+            .otherwise("  Régimen   Especial ")
+        )
+        found[S.BIDDERS] = F.col("bidders")
+    if _FROM_SUPPLIERS & columns:
+        suppliers, nations = _suppliers(spark, sf_dir, unique)
+        rows = rows.join(suppliers, F.col(supplier) == F.col("s_suppkey"), "left")
+        rows = rows.join(nations, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+        found[S.ENTITY] = F.col("s_name")
+        found[S.REGION] = F.when(F.col("n_regionkey") == 1, "Cundinamarca").otherwise("Otro")
+        found[S.CITY] = F.col("n_name")
+    return rows.withColumns({c: found[c] for c in found if c in columns})
+
+
+def _own_columns() -> dict[str, Column]:
+    """The contract columns that come from the lines themselves."""
     quantity, amount = F.col("l_quantity"), F.col("l_extendedprice") * F.col("l_quantity")
-    priority = F.col("o_orderpriority")
     line = F.col("l_linenumber") % 5
-    expressions: dict[str, Column] = {
+    return {
         S.ID: F.concat("l_orderkey", F.lit("-"), "l_linenumber"),
         S.REFERENCE: F.concat(F.lit("PO-"), "l_partkey"),
-        S.ENTITY: F.col("s_name"),
-        S.REGION: F.when(F.col("n_regionkey") == 1, "Cundinamarca").otherwise("Otro"),
-        S.CITY: F.col("n_name"),
-        S.MODALITY: F.when(quantity == 4, None)
-        .when(priority == "1-URGENT", "Licitación Pública")
-        .when(priority == "2-HIGH", "Selección Abreviada")
-        .when(priority == "3-MEDIUM", "Mínima Cuantía")
-        .when(priority == "4-NOT SPECIFIED", "Contratación Directa")
-        .otherwise("  Régimen   Especial "),
         S.CONTRACT_TYPE: F.when(F.col("l_returnflag") == "R", "Obra")
         .when(F.col("l_returnflag") == "A", " Consultoría ").otherwise("Suministro"),
         S.STATUS: F.when(F.col("l_linestatus") == "F", "Adjudicado").otherwise("Abierto"),
         S.PRICE: F.when(quantity == 1, 0.0).when(quantity == 2, -F.col("l_extendedprice"))
         .when(quantity == 3, None).otherwise(amount),
         S.AWARD: amount * (1 - F.col("l_discount")) * (1 + F.col("l_tax")),
-        S.BIDDERS: F.col("bidders"),
         S.DURATION: quantity,
         S.DURATION_UNIT: F.when(line == 0, "Mes(es)").when(line == 1, "día(s)")
         .when(line == 2, "Año(s)").when(line == 3, "Semana(s)"),
         S.PUBLISHED: F.col("l_shipdate"),
     }
-    ties = [F.col("l_suppkey").alias("k_supp"), F.col("l_extendedprice").alias("k_ext"),
+
+
+def _ties() -> list[Column]:
+    return [F.col("l_suppkey").alias("k_supp"), F.col("l_extendedprice").alias("k_ext"),
             F.col("l_discount").alias("k_disc"), F.col("l_tax").alias("k_tax")]
-    wanted = [expressions[c].alias(c) for c in S.RAW_COLUMNS if c in columns]
-    return rows.select(*wanted, *ties)
+
+
+def raw_contracts(
+    spark: SparkSession, sf_dir: str, columns: Sequence[str] = tuple(S.RAW_COLUMNS)
+) -> DataFrame:
+    """The raw contracts with ``columns`` and the tie-breaking ``k_`` columns."""
+    lines = table(spark, sf_dir, "lineitem")
+    rows = _looked_up(lines, spark, sf_dir, set(columns), "l_orderkey", "l_suppkey", "l_quantity")
+    own = _own_columns()
+    return rows.select(*[own.get(c, F.col(c)).alias(c) for c in S.RAW_COLUMNS if c in columns], *_ties())
 
 
 def dedup_order() -> list[Column]:
@@ -107,9 +136,21 @@ def dedup_order() -> list[Column]:
 def clean_view(
     spark: SparkSession, sf_dir: str, columns: Sequence[str] = tuple(S.RAW_COLUMNS)
 ) -> DataFrame:
-    """The first valid copy of every contract, enriched, computed from the given tables."""
-    raw = raw_contracts(spark, sf_dir, columns)
-    return features.add_features(cleaning.clean_contracts(raw, order=dedup_order())).drop(*_TIES)
+    """The first valid copy of every contract, enriched, computed from the given tables.
+
+    Whether a line is valid and first follows from the line alone.  So lines are dealt out by order once, cleaned as
+    narrow rows, and only those that stay look up, in the same tasks, what belongs to their order.
+    An id names its order, so the first copy of a contract is found within its order.
+    """
+    lines = table(spark, sf_dir, "lineitem").repartition("l_orderkey")
+    own, wanted = _own_columns(), set(columns)
+    raw = lines.select(*[own[c].alias(c) for c in S.RAW_COLUMNS if c in wanted and c in own],
+                       *_ties(), F.col("l_orderkey").alias("k_order"))
+    first = cleaning.clean_contracts(raw, order=dedup_order(), within=["k_order"])
+    rows = _looked_up(first, spark, sf_dir, wanted, "k_order", "k_supp", S.DURATION, unique=True)
+    looked_up = [c for c in S.TEXT_COLUMNS if c in wanted and c not in own]
+    clean = cleaning.trim_categories(rows, looked_up).select(*[c for c in S.RAW_COLUMNS if c in wanted])
+    return features.add_features(clean)
 
 
 _stored: dict[tuple[str, str], str] = {}

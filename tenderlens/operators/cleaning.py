@@ -54,17 +54,28 @@ def default_order(df: DataFrame, id_column: str = S.ID, date_column: str = S.PUB
     return newest + [F.col(c).asc() for c in df.columns if c not in (id_column, date_column)]
 
 
-def dedup_keep_first(df: DataFrame, id_column: str, order: Sequence[Column]) -> DataFrame:
+def dedup_keep_first(
+    df: DataFrame, id_column: str, order: Sequence[Column], within: Sequence[str] = ()
+) -> DataFrame:
     """First row per id in ``order``; missing ids count as one id.
 
     Rows have no position in a distributed table, so the order is an argument.  The
     planner keeps one row per id in each task before the shuffle, so a very frequent
     id does not load the task that receives it.
+
+    ``within`` names columns whose values follow from an id that is not missing.  A table that is already
+    dealt out by them is then neither shuffled nor sorted again by id.
     """
     if id_column not in df.columns:
         return df
-    window = Window.partitionBy(id_column).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
+    window = Window.partitionBy(*within, id_column).orderBy(*order)
+    kept = df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
+    if not within:
+        return kept
+    # Missing ids are left with one row per value of ``within``; the first of them all stays.
+    missing = df.where(F.col(id_column).isNull()).orderBy(*order, *within).limit(1)
+    first = missing.select(F.struct(*within)).scalar()
+    return kept.where(F.col(id_column).isNotNull() | F.struct(*within).eqNullSafe(first))
 
 
 def parse_dates(df: DataFrame, columns: Sequence[str] = (S.PUBLISHED,)) -> DataFrame:
@@ -87,11 +98,15 @@ def clean_contracts(
     award: str = S.AWARD,
     date_columns: Sequence[str] = (S.PUBLISHED,),
     order: Sequence[Column] | None = None,
+    within: Sequence[str] = (),
 ) -> DataFrame:
-    """Drop invalid amounts, keep one row per id; amounts and dates typed, texts trimmed."""
+    """Drop invalid amounts, keep one row per id; amounts and dates typed, texts trimmed.
+
+    For ``within`` see ``dedup_keep_first``.
+    """
     _require(df, [price, award])
     valid = cast_money(valid_money_filter(df, price, award), [price, award])
     typed = trim_categories(parse_dates(valid, date_columns))
     first_date = date_columns[0] if date_columns else S.PUBLISHED
     chosen = order if order is not None else default_order(typed, id_column, first_date)
-    return dedup_keep_first(typed, id_column, chosen)
+    return dedup_keep_first(typed, id_column, chosen, within)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tenderlens import schema as S
+from tenderlens.catalog import views
 from tenderlens.operators import cleaning, features, quality
 
 from conftest import rows
@@ -121,3 +122,45 @@ def test_overcost_rate(spark):
 def test_dates_already_typed_are_kept(spark):
     table = spark.createDataFrame([(dt.datetime(2024, 1, 1),)], f"{S.PUBLISHED} timestamp_ntz")
     assert rows(cleaning.parse_dates(table)) == [(dt.datetime(2024, 1, 1),)]
+
+
+def test_dedup_within_columns_that_follow_from_the_id(spark):
+    lines = [(k, line, n) for k in (1, 2, 3, None) for line in (1, 2, None) for n in (5, 7, 6 + (k or 0))]
+    table = spark.createDataFrame(lines, "k long, line int, n int").withColumn("id", F.concat("k", F.lit("-"), "line"))
+    order = [F.col("n").desc()]
+    plain = cleaning.dedup_keep_first(table, "id", order)
+    within = cleaning.dedup_keep_first(table.repartition(4, "k"), "id", order, within=["k"])
+    assert sorted(map(str, rows(within.select("id", "n")))) == sorted(map(str, rows(plain.select("id", "n"))))
+    assert within.count() == 7  # six ids and one row without
+    known = table.where("id is not null")
+    assert cleaning.dedup_keep_first(known, "id", order, within=["k"]).count() == 6
+
+
+def write_orders(spark, path):
+    """Order tables with repeated ids, missing keys, and orders, suppliers and nations that come twice."""
+    one = dt.datetime(2024, 1, 1)
+    keys = [(1, 1), (1, 1), (1, 2), (2, 1), (2, None), (1, None), (3, None), (None, 1), (4, 1), (4, 1)]
+    lines = [(o, 5 + i, 1 + i % 3, n, 5.0 + i % 2, 100.0 + i, 0.0, 0.01, "RAN"[i % 3], "FO"[i % 2], one + dt.timedelta(days=i % 4))
+             for i, (o, n) in enumerate(keys)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                          "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                          "l_linestatus string, l_shipdate timestamp_ntz").write.parquet(f"{path}/lineitem.parquet")
+    for name, found, kind in (
+        ("orders", [(1, "1-URGENT"), (1, "1-URGENT"), (2, None), (4, "2-HIGH")], "o_orderkey long, o_orderpriority string"),
+        ("supplier", [(1, "a ", 1), (1, "a ", 1), (2, "b", 7)], "s_suppkey long, s_name string, s_nationkey int"),
+        ("nation", [(1, "x", 1), (1, "x", 1)], "n_nationkey int, n_name string, n_regionkey int"),
+    ):
+        spark.createDataFrame(found, kind).write.parquet(f"{path}/{name}.parquet")
+
+
+def test_clean_view_looks_up_after_the_choice_of_the_first_copy(spark, tmp_path):
+    write_orders(spark, tmp_path)
+    raw = views.raw_contracts(spark, str(tmp_path))
+    expected = cleaning.clean_contracts(raw, order=views.dedup_order()).select(*S.RAW_COLUMNS)
+    got = views.clean_view(spark, str(tmp_path))
+    assert sorted(map(str, rows(got.select(*S.RAW_COLUMNS)))) == sorted(map(str, rows(expected)))
+    assert got.count() == 5
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # No shuffle by id, and none of the wide rows.
+    assert S.ID not in "".join(line for line in plan.splitlines() if "Exchange" in line)
+    assert raw.count() > 10  # raw contracts still come once for each row that they look up
