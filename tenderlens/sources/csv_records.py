@@ -2,9 +2,11 @@
 
 Spark splits a text file at line breaks, but a task that starts in the middle of a file cannot tell whether
 its first line is inside a quoted field.  Quotes tell: inside one if an odd number of them came before,
-as quotes inside quoted fields are doubled.  So quotes are counted per split, the counts of a file
-are added up, one row per split, and each split then finds the starts of its records.  Only the first and
-the last record of a split can reach into another one; these few are put together in a second step.
+as quotes inside quoted fields are doubled.  So quotes are counted per chunk, a run of at most 4,096 lines
+of a split, and the counts of a file are added up, one row per chunk.  Where a chunk begins outside of quoted fields
+and no line of it has an odd number of quotes, each line is a record, and stays in the task that reads it.
+Only the lines of the other chunks are shuffled, by chunk, and put in order there; the first and the last record
+of such a chunk can reach into another one, and these few are put together in a second step.
 """
 
 from __future__ import annotations
@@ -12,22 +14,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-_PLACE = ["file", "start"]  # of a split
+_CHUNK_BITS = 12
+_PLACE = ["file", "start", "chunk"]  # of a chunk: its file, its split and its number
 
 
-def _before(splits: DataFrame, column: str) -> DataFrame:
-    """``splits`` (a row per split) with the sum of ``column`` over the earlier splits of the file."""
-    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    return splits.select(*_PLACE, F.coalesce(F.sum(column).over(earlier), F.lit(0)).alias(f"{column}_before"))
+def _before(chunks: DataFrame, column: str) -> DataFrame:
+    """``chunks`` (a row per chunk) with the sum of ``column`` over the earlier chunks of the file."""
+    earlier = Window.partitionBy("file").orderBy("start", "chunk").rowsBetween(Window.unboundedPreceding, -1)
+    return chunks.withColumn(f"{column}_before", F.coalesce(F.sum(column).over(earlier), F.lit(0)))
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with their split, their order in it and their number of quotes."""
+    """Lines with their chunk, their order in it and their number of quotes."""
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
     return spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("line"), "value", quotes.cast("bigint").alias("quotes"),
-    )
+    ).withColumn("chunk", F.shiftright("line", _CHUNK_BITS))
+
+
+def _chunks(lines: DataFrame) -> DataFrame:
+    """A row per chunk: quotes before it, whether it begins its file, and whether each line is a record by itself."""
+    counts = lines.groupBy(*_PLACE).agg(
+        F.sum("quotes").alias("quotes"), F.max(F.col("quotes") % 2).alias("odd"))
+    begins = F.row_number().over(Window.partitionBy("file").orderBy("start", "chunk")) == 1
+    return _before(counts, "quotes").select(
+        *_PLACE, "quotes_before", begins.alias("begins_file"),
+        ((F.col("odd") == 0) & (F.col("quotes_before") % 2 == 0) & ~begins).alias("plain"))
 
 
 def csv_records(spark: SparkSession, path: str) -> DataFrame:
@@ -38,34 +51,44 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     Quotes must stand in quoted fields only, where they are doubled (RFC 4180).
     """
     lines = _lines(spark, path)
-    quotes_before = _before(lines.groupBy(*_PLACE).agg(F.sum("quotes").alias("quotes")), "quotes")
+    chunks = _chunks(lines)
+    # The numbers of the chunks that need more than their lines, for all tasks: eight bytes for each 4,096 lines at most.
+    # A number is one of the whole table; at the edge of two splits it may stand for two chunks.
+    broken = F.broadcast(chunks.where(~F.col("plain")).select("chunk").distinct())
+    plain = lines.join(broken, "chunk", "left_anti").select(F.lit(False).alias("first"), F.col("value").alias("text"))
+
+    rest = lines.join(broken, "chunk", "left_semi")
     in_order = Window.partitionBy(*_PLACE).orderBy("line")
     earlier = F.sum("quotes").over(in_order) - F.col("quotes") + F.col("quotes_before")
     begins = (earlier % 2 == 0).cast("bigint")
     numbered = (
-        lines.join(quotes_before, _PLACE)
-        .select(*_PLACE, "line", "value", begins.alias("begins"))
+        rest.join(chunks.drop("plain"), _PLACE)
+        .select(*_PLACE, "line", "value", "begins_file", begins.alias("begins"))
         .withColumn("record", F.sum("begins").over(in_order))
     )
-    # A record's part in one split; the lines before the split's first record start have number 0.
+    # A record's part in one chunk; the lines before the chunk's first record start have number 0.
     ordered = F.array_sort(F.collect_list(F.struct("line", "value")))
-    parts = numbered.groupBy(*_PLACE, "record").agg(F.array_join(ordered["value"], "\n").alias("text"))
+    parts = numbered.groupBy(*_PLACE, "record").agg(
+        F.array_join(ordered["value"], "\n").alias("text"), F.max("begins_file").alias("begins_file"))
     parts = parts.withColumn("records", F.max("record").over(Window.partitionBy(*_PLACE)))
     inner = (F.col("record") > 0) & (F.col("record") < F.col("records"))
-    # Split 0 begins with its first record, which may be its last one as well.
-    first = (F.col("start") == 0) & (F.col("record") == 1)
+    # A file's first chunk begins with its first record, which may be the chunk's last one as well.
+    first = F.col("begins_file") & (F.col("record") == 1)
     whole = parts.where(inner).select(first.alias("first"), "text")
 
-    # At most two parts of each split: the end of an earlier record, and the beginning of the last one.
+    # At most two parts of each chunk: the end of an earlier record, and the beginning of the last one.
+    # A record that goes on in the next chunk makes that one of these chunks, too.
     edges = parts.where(~inner)
-    records = edges.groupBy(*_PLACE).agg(F.max("records").alias("records"))
+    records = _before(edges.groupBy(*_PLACE).agg(F.max("records").alias("records")), "records")
+    place = F.struct("start", "chunk")
     joined = (
-        edges.drop("records").join(_before(records, "records"), _PLACE)
+        edges.drop("records").join(records.select(*_PLACE, "records_before"), _PLACE)
         .groupBy("file", (F.col("record") + F.col("records_before")).alias("number"))
-        .agg(F.max(first).alias("first"), F.array_sort(F.collect_list(F.struct("start", "text"))).alias("all"))
+        .agg(F.max(first).alias("first"), F.array_sort(F.collect_list(F.struct(place.alias("place"), "text"))).alias("all"))
         .select("first", F.array_join(F.col("all")["text"], "\n").alias("text"))
     )
-    found = whole.unionByName(joined).withColumn("text", F.regexp_replace("text", "\r$", ""))
+    found = plain.unionByName(whole).unionByName(joined)
+    found = found.withColumn("text", F.regexp_replace("text", "\r$", ""))
     return found.where(F.col("first") | (F.length("text") > 0))
 
 

@@ -5,6 +5,7 @@ import random
 import pytest
 
 from tenderlens import sources
+from tenderlens.sources import csv_records as csv_module
 from tenderlens.sources.csv_records import csv_records
 
 
@@ -14,6 +15,24 @@ def cell(draw):
     return text if plain and draw.random() < 0.5 else '"' + text.replace('"', '""') + '"'
 
 
+def rows_shuffled(plan):
+    """Rows written by each shuffle of lines in an executed plan."""
+    found, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+            continue
+        if name.endswith("QueryStage"):
+            todo.append(node.plan())
+            continue
+        if name == "Exchange" and "value" in node.output().mkString(","):
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
 def written(path, seed, end, rows=150):
     draw = random.Random(seed)
     lines = ["id,first,second"] + [f"{i},{cell(draw)},{cell(draw)}" for i in range(rows)]
@@ -51,6 +70,24 @@ def test_same_rows_as_whole_files(small_splits, tmp_path, seed, end):
     assert two == one
 
 
+@pytest.mark.parametrize("bits", [0, 1, 2])
+@pytest.mark.parametrize("seed, end", [(4, "\n"), (5, "\r\n")])
+def test_same_rows_whatever_the_chunks(small_splits, tmp_path, monkeypatch, seed, end, bits):
+    monkeypatch.setattr(csv_module, "_CHUNK_BITS", bits)
+    test_same_rows_as_whole_files(small_splits, tmp_path, seed, end)
+
+
+def test_lines_of_plain_chunks_are_not_shuffled(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(csv_module, "_CHUNK_BITS", 4)
+    lines = ["a,b"] + [f'{i},"x"' for i in range(900)]
+    lines[500] = '499,"x\ny"'
+    (tmp_path / "a.csv").write_text("\n".join(lines) + "\n")
+    got = sources.read_raw_csv(spark, str(tmp_path / "a.csv"))
+    assert sorted(map(tuple, got.collect())) == sorted((str(i), "x\ny" if i == 499 else "x") for i in range(900))
+    shuffled = rows_shuffled(got._jdf.queryExecution().executedPlan())
+    assert max(shuffled) <= 2 * 16  # the first chunk and the one with the line break
+
+
 def test_only_edges_are_put_together(small_splits, tmp_path):
     written(tmp_path / "a.csv", 5, "\n")
     records = csv_records(small_splits, str(tmp_path / "a.csv"))
