@@ -59,7 +59,9 @@ def _typed(raw: DataFrame) -> DataFrame:
 @_query(_TYPED_SQL)
 def scan_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{sources.shared_folder(spark)}/json"
-    raw_contracts(spark, sf_dir).select(*S.RAW_COLUMNS).write.json(path)
+    # Compressed, as records repeat their keys; each task writes files of its own, so many tasks read them.
+    raw = raw_contracts(spark, sf_dir).select(*S.RAW_COLUMNS)
+    raw.write.option("maxRecordsPerFile", 500_000).json(path, compression="gzip")
     return _typed(sources.read_json_records(spark, path))
 
 

@@ -184,3 +184,15 @@ def test_command_line(spark, raw, tmp_path, capsys):
 def test_shared_folder_follows_the_setting(spark):
     one, two = sources.shared_folder(spark), sources.shared_folder(spark)
     assert one != two and one.startswith(spark.sparkContext.getConf().get("spark.checkpoint.dir"))
+
+
+def test_landed_json_is_compressed(spark, tmp_path, monkeypatch):
+    from test_cleaning import write_orders
+    from tenderlens.catalog import stage_one, views
+
+    write_orders(spark, tmp_path)
+    monkeypatch.setattr(sources, "shared_folder", lambda _: str(tmp_path / "landed"))
+    got = stage_one.scan_json(spark, str(tmp_path))
+    files = list((tmp_path / "landed" / "json").glob("part-*"))
+    assert files and all(f.name.endswith(".json.gz") for f in files)
+    assert got.count() == views.raw_contracts(spark, str(tmp_path)).count()
