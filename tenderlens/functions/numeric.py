@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 
 _NUMBER = r"(?i)^[\s\x1c-\x1f]*([+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?|inf|infinity))[\s\x1c-\x1f]*$"
 
+# Digits with a decimal point, as programs write them; too short for the double range to end.
+PLAIN_NUMBER = r"^[+-]?[0-9]{1,200}(\.[0-9]{1,200})?([eE][+-]?[0-9]{1,2})?\z"
+
 
 def null_if_nan(value: Column) -> Column:
     """NaN compares as the largest number in Spark and poisons averages: fold it to NULL."""
@@ -20,14 +23,15 @@ def parse_number(text: Column, keep_overflow: bool = False) -> Column:
     The pattern guards the cast, which would also take Java forms such as ``1f``; what
     does not match gives the empty string and so NULL.
     Texts of finite numbers past the double range give NULL; ``keep_overflow`` admits them
-    as infinity.
+    as infinity.  Plain numbers, the bulk of written tables, are cast as they are.
     """
+    short, cast = text.rlike(PLAIN_NUMBER), text.try_cast("double")
     plain = F.regexp_extract(text, _NUMBER, 1)
     number = plain.try_cast("double")
     if keep_overflow:
-        return number
+        return F.when(short, cast).otherwise(number)
     infinite = F.abs(number) == float("inf")
-    return F.when(~infinite | plain.rlike("(?i)inf"), number)
+    return F.when(short, cast).when(~infinite | plain.rlike("(?i)inf"), number)
 
 
 def number_column(df: DataFrame, name: str) -> Column:

@@ -88,7 +88,8 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
         .select("first", F.array_join(F.col("all")["text"], "\n").alias("text"))
     )
     found = plain.unionByName(whole).unionByName(joined)
-    found = found.withColumn("text", F.regexp_replace("text", "\r$", ""))
+    bare = F.when(F.col("text").endswith("\r"), F.regexp_replace("text", "\r$", "")).otherwise(F.col("text"))
+    found = found.withColumn("text", bare)
     return found.where(F.col("first") | (F.length("text") > 0))
 
 
@@ -101,4 +102,5 @@ def read_csv_records(spark: SparkSession, path: str, options: dict) -> DataFrame
     columns = ", ".join(f"`{name.replace('`', '``')}` string" for name in schema.names)
     texts = {k: str(v).lower() if isinstance(v, bool) else v for k, v in settings.items() if k != "header"}
     records = csv_records(spark, path).where(~F.col("first"))
-    return records.select(F.from_csv("text", columns, texts).alias("row")).select("row.*")
+    # A generator's output is computed once; fields of a struct would each parse the record again.
+    return records.select(F.inline(F.array(F.from_csv("text", columns, texts))))

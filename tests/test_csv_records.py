@@ -109,3 +109,11 @@ def test_small_files(spark, tmp_path, content, rows):
 def test_missing_file(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         sources.read_raw_csv(spark, str(tmp_path / "none.csv"))
+
+
+def test_each_record_is_parsed_once(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b,c\n1,2,3\n4,5,6\n")
+    got = sources.read_raw_csv(spark, str(tmp_path / "a.csv")).where("a > 1 and b > 1").select("a", "b", "c")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv") == 1
+    assert [tuple(r) for r in got.collect()] == [("4", "5", "6")]

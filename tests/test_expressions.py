@@ -27,6 +27,13 @@ def test_currency_texts(one_column):
     assert one_column(list(CURRENCY), "string", fn.parse_currency) == list(CURRENCY.values())
 
 
+def test_plain_numbers_are_cast_as_they_are(one_column):
+    texts = ["12.5", "-0.25E-7", "+3e05", "9" * 200 + "E99", "9" * 201 + "E99", "1E308", "12.5\n", "1.", "1E400", "९", "1f"]
+    wanted = [12.5, -0.25e-7, 3e5, 1e299, 1e300, 1e308, 12.5, 1.0, None, None, None]
+    assert one_column(texts, "string", fn.parse_number) == wanted
+    assert one_column(texts, "string", fn.parse_currency) == wanted
+
+
 def test_currency_numbers_pass_through(spark):
     table = spark.createDataFrame(
         [(1, 120000.0), (2, float("nan")), (3, None)], "precio_base int, valor_total_adjudicacion double"
