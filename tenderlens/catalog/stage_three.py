@@ -104,11 +104,7 @@ union all select 'num__proveedores_unicos_con',
 
 def _numeric_fit(spark: SparkSession, sf_dir: str, kind: str, alpha: float) -> DataFrame:
     train, _ = R.hash_split(_prepared(spark, sf_dir))
-    kept = train.persist()
-    try:
-        model = R.fit_model(kept, kind, alpha, categorical=[])
-    finally:
-        kept.unpersist()
+    model = R.fit_model(train, kind, alpha, categorical=[])
     table = R.coefficient_table(spark, model).select("variable", "coeficiente")
     return rounded(table, {"coeficiente": 7})
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tenderlens.functions.text import fold_ascii, once, strip_text
+from tenderlens.functions.text import fold_ascii, fold_latin, is_ascii, once, strip_text
 
 # Days per unit, tested as substrings of the folded unit in this order.
 UNIT_DAYS = [("mes", 30.0), ("ano", 365.0), ("dia", 1.0)]
@@ -22,4 +22,8 @@ def duration_days(magnitude: Column, unit: Column) -> Column:
             days = F.when(folded.contains(word), F.lit(length)).otherwise(days)
         return days
 
-    return magnitude * once(fold_ascii(F.lower(strip_text(unit))), factor)
+    # Outer white space is part of no word, and what folds to ASCII letter by letter needs no more than that.
+    lower = F.lower(unit)
+    folded = once(fold_ascii(F.lower(strip_text(unit))), factor)
+    accented = once(fold_latin(lower), lambda text: F.when(~is_ascii(text), folded).otherwise(factor(text)))
+    return magnitude * F.when(is_ascii(unit), factor(lower)).otherwise(accented)

@@ -15,6 +15,7 @@ _SPACE = "".join(chr(code) for code in range(sys.maxunicode + 1) if chr(code).is
 
 _INNER_SPACE = r"[\s\x1c-\x1f]+"
 _NON_ASCII = r"[^\x00-\x7F]"
+_LATIN_END = 0x180
 
 
 def strip_text(text: Column) -> Column:
@@ -42,6 +43,18 @@ def _folds() -> tuple[str, str, dict[str, str]]:
     return "".join(source), "".join(target), wide
 
 
+def is_ascii(text: Column) -> Column:
+    """Whether ``text`` has ASCII characters only."""
+    return F.octet_length(text) == F.char_length(text)
+
+
+def fold_latin(text: Column) -> Column:
+    """``text`` with the accented Latin letters as ``fold_ascii`` folds them; other characters stay."""
+    source, target, _ = _folds()
+    pairs = [(char, plain) for char, plain in zip(source, target) if ord(char) < _LATIN_END]
+    return F.translate(text, "".join(char for char, _ in pairs), "".join(plain for _, plain in pairs))
+
+
 def once(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use`` applied to ``value``, which is evaluated a single time however often it is used."""
     return F.transform(F.array(value), use)[0]

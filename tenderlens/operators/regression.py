@@ -6,6 +6,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
@@ -126,13 +127,14 @@ class TrainingFacts:
     means: dict[str, float]
     deviations: dict[str, float]  # of the population
     categories: dict[str, list[str]]
+    covariance: list[list[float]] | None = None  # of the numbers, label last; without categorical columns
 
 
 def training_facts(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str | None) -> TrainingFacts:
     """Counts, moments and categories from one read of ``train``.
 
     Rows are grouped by category, once for each categorical column, and the moments of the first one's
-    groups are put together.  Only as many groups go to the driver as tell that the solver cannot take them all.
+    groups are put together.  Without categorical columns the covariances of the numbers are found, too.  Only as many groups go to the driver as tell that the solver cannot take them all.
     """
     numbers = [*numeric, *([label] if label else [])]
     incomplete = F.greatest(F.lit(False), *[F.col(c).isNull() for c in [*numbers, *categorical]])
@@ -143,6 +145,7 @@ def training_facts(train: DataFrame, numeric: Sequence[str], categorical: Sequen
         F.count("*").alias("n"), F.count_if("incomplete").alias("incomplete"),
         *[F.struct(F.count(c).alias("n"), F.avg(c).alias("mean"), F.var_pop(c).alias("variance")).alias(f"of_{i}")
           for i, c in enumerate(numbers)],
+        *[F.covar_pop(c, numbers[j]).alias(f"of_{i}_{j}") for i, c in enumerate(numbers) for j in range(i) if not categorical],
     )
     found = groups.limit(_NORMAL_SOLVER_FEATURES + 2 * len(entries) + 1).collect()
     named = {c: sorted(g["at"]["category"] for g in found if g["at"]["column"] == i and g["at"]["category"] is not None)
@@ -156,7 +159,41 @@ def training_facts(train: DataFrame, numeric: Sequence[str], categorical: Sequen
         means[c] = math.fsum(n * mean for n, mean, _ in parts) / total if total else 0.0
         spread = math.fsum(n * (variance + (mean - means[c]) ** 2) for n, mean, variance in parts)
         deviations[c] = math.sqrt(spread / total) if total else 0.0
-    return TrainingFacts(sum(g["n"] for g in first), sum(g["incomplete"] for g in first), means, deviations, named)
+    covariance = None
+    if first and not categorical:  # one group
+        covariance = [[first[0][f"of_{i}"]["variance"] if i == j else first[0][f"of_{max(i, j)}_{min(i, j)}"]
+                       for j in range(len(numbers))] for i in range(len(numbers))]
+    return TrainingFacts(
+        sum(g["n"] for g in first), sum(g["incomplete"] for g in first), means, deviations, named, covariance)
+
+
+def _with_equal_moments(means: Sequence[float], covariance: Sequence[Sequence[float]]) -> list[list[float]]:
+    """A few rows with these means and population covariances: pairs around the means, one for each direction.
+
+    None at all if no rows have these covariances, as where a number varies by rounding errors only.
+    """
+    width, middle, spread = len(means), np.array(means), np.array(covariance)
+    # Numbers of very different size keep their own precision.
+    size = np.sqrt(np.diag(spread))
+    unit = np.where(size > 0, size, 1.0)
+    values, directions = np.linalg.eigh(spread / np.outer(unit, unit))
+    if values.min() < -1e-9:
+        return []
+    steps = unit[:, None] * directions * np.sqrt(np.maximum(values, 0.0) * width)
+    return [(middle + sign * step).tolist() for step in steps.T for sign in (-1, 1)]
+
+
+def _for_the_estimator(train: DataFrame, numeric: Sequence[str], facts: TrainingFacts) -> DataFrame:
+    """Rows with the normal equations of ``train``: a few with the moments in its facts if they tell all, or ``train``.
+
+    The equations, divided by the number of rows, are made of means and covariances.
+    """
+    names = [*numeric, LABEL]
+    moments = [*map(facts.means.get, names), *sum(facts.covariance or [], [])]
+    if facts.covariance is None or not all(map(math.isfinite, moments)):
+        return train
+    rows = _with_equal_moments(moments[:len(names)], facts.covariance)
+    return train.sparkSession.createDataFrame(rows, ", ".join(f"`{c}` double" for c in names)) if rows else train
 
 
 def one_hot_drop_first(df: DataFrame, column: str = S.MODALITY) -> DataFrame:
@@ -207,7 +244,7 @@ def fit_model(
     """Ridge (squared error plus ``alpha`` times squared weights) or least squares.
 
     ``train`` is read for its facts and for the sums of the normal equations; the estimator then counts its
-    rows once more.  Where columns depend on each other, least squares gives the smallest weights that fit best.
+    rows once more.  Without categorical columns the facts tell these sums, and it is read once.  Where columns depend on each other, least squares gives the smallest weights that fit best.
     """
     return _fit(train, model_type, alpha, numeric, categorical)[0]
 
@@ -234,7 +271,8 @@ def _fit(
         elasticNetParam=0.0, standardization=False, solver="normal",
         regParam=penalty * facts.deviations[LABEL],
     )
-    fitted = regressor.fit(preprocessor.transform(train).select("features", LABEL))
+    rows = _for_the_estimator(train, numeric, facts)
+    fitted = regressor.fit(preprocessor.transform(rows).select("features", LABEL))
     return PipelineModel([*preprocessor.stages, fitted]), facts
 
 

@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tenderlens import functions as fn
+from tenderlens.functions.duration import UNIT_DAYS
 from tenderlens.operators.cleaning import cast_money
 
 CURRENCY = {
@@ -139,6 +140,14 @@ def test_durations(spark):
     assert [r[1] for r in got] == [r[0] for r in got]
 
 
+def test_durations_in_units_with_other_letters(one_column):
+    units = ["\u00a0Me\u0301s\u2003", "ｍｅｓ", "me\u00adses", "mes日", "ªno", "AÑO\t", "dí\u200ba", "día日", "日", "", "ĀNO", "ſemana", "DÍAS de mes"]
+    days = [30.0, 30.0, 30.0, 30.0, 365.0, 365.0, 1.0, 1.0, 1.0, 1.0, 365.0, 1.0, 30.0]
+    assert one_column(units, "string", lambda unit: fn.duration_days(F.lit(1.0), unit)) == days
+    whole = one_column(units, "string", lambda unit: fn.fold_ascii(F.lower(fn.strip_text(unit))))
+    assert [next((d for word, d in UNIT_DAYS if word in text), 1.0) for text in whole] == days
+
+
 def test_bands(one_column):
     values = [None, 0.0, 1.0, 2.0, 3.0, 4.0, 9.0, 10.0, 1.5, 3.5, 9.5]
     bands = one_column(values, "double", fn.competition_band)

@@ -229,3 +229,20 @@ def test_reads_of_the_training_rows(spark, prepared, tmp_path):
     R.fit_model(spark.createDataFrame(seen, train.schema))
     # Facts, normal equations, and the count that the estimator makes for its summary.
     assert reads.value == 3 * train.count()
+
+
+@pytest.mark.parametrize("kind", ["ridge", "linear"])
+def test_numbers_alone_are_read_once(spark, prepared, tmp_path, kind):
+    prepared.write.parquet(str(tmp_path / "train"))
+    train = spark.read.parquet(str(tmp_path / "train"))
+    reads = spark.sparkContext.accumulator(0)
+    seen = train.rdd.map(lambda row: (reads.add(1), row)[1])
+    model = R.fit_model(spark.createDataFrame(seen, train.schema), kind, 2.0, categorical=[])
+    assert reads.value == train.count()
+    pdf = train.toPandas()
+    x, y = pdf[R.NUMERIC_FEATURES].to_numpy(), pdf["label"].to_numpy()
+    x = (x - x.mean(0)) / x.std(0)
+    penalty = 2.0 if kind == "ridge" else 0.0
+    expected = np.linalg.solve(x.T @ x + penalty * np.eye(3), x.T @ (y - y.mean()))
+    assert np.allclose(model.stages[-1].coefficients.toArray(), expected, rtol=1e-9, atol=1e-11)
+    assert model.stages[-1].intercept == pytest.approx(y.mean(), rel=1e-12)
