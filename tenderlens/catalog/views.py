@@ -6,6 +6,7 @@ unknown and missing units, padded and accented texts, and repeated ids.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +21,9 @@ _FROM_SUPPLIERS = {S.ENTITY, S.CITY, S.REGION}
 _FROM_ORDERS = {S.MODALITY}
 _FROM_COMPETITION = {S.BIDDERS}
 
+# Lines that one task of the clean view sorts and looks up at once, whatever the table's size.
+LINES_PER_TASK = 300_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
@@ -31,11 +35,28 @@ def _competition(lines: DataFrame) -> DataFrame:
     return lines.groupBy(F.col("l_orderkey").alias("key")).agg(bidders.alias("bidders"))
 
 
-def _order_facts(spark: SparkSession, sf_dir: str, columns: set[str], unique: bool) -> DataFrame | None:
+def _dealt_out(df: DataFrame, parts: int | None, key: str) -> DataFrame:
+    """``df`` dealt out by ``key``; without a number of parts the planner chooses it."""
+    return df.repartition(key) if parts is None else df.repartition(parts, key)
+
+
+def _parts(spark: SparkSession, lines: DataFrame) -> int | None:
+    """Parts of ``LINES_PER_TASK`` lines; None where a part for each core is no larger.
+
+    The planner's parts are bounded by their compressed bytes and by a fixed number of parts, so the memory of a
+    task would follow neither.  Counting reads the footers of the files alone.
+    """
+    parts = math.ceil(lines.count() / LINES_PER_TASK)
+    return parts if parts > spark.sparkContext.defaultParallelism else None
+
+
+def _order_facts(
+    spark: SparkSession, sf_dir: str, columns: set[str], unique: bool, parts: int | None = None
+) -> DataFrame | None:
     """What the lines look up by order, in one table with one row per order.
 
     One join instead of two lets the planner split a very large order without another shuffle.
-    ``unique`` keeps one row where an order is given several times.
+    ``unique`` keeps one row where an order is given several times.  ``parts`` deals the tables out as the lines are.
     """
     priority = F.col("o_orderpriority")
     kind = (
@@ -43,9 +64,12 @@ def _order_facts(spark: SparkSession, sf_dir: str, columns: set[str], unique: bo
         .when(priority == "3-MEDIUM", 3).when(priority == "4-NOT SPECIFIED", 4)
     )
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), kind.alias("kind"))
+    lines = table(spark, sf_dir, "lineitem")
+    if parts is not None:
+        orders, lines = _dealt_out(orders, parts, "key"), _dealt_out(lines, parts, "l_orderkey")
     if unique:
         orders = orders.groupBy("key").agg(F.max("kind").alias("kind"))
-    competition = _competition(table(spark, sf_dir, "lineitem"))
+    competition = _competition(lines)
     if not columns & _FROM_COMPETITION:
         return orders if columns & _FROM_ORDERS else None
     # Every order of a line has a row in ``competition``.
@@ -63,7 +87,7 @@ def _suppliers(spark: SparkSession, sf_dir: str, unique: bool) -> tuple[DataFram
 
 def _looked_up(
     rows: DataFrame, spark: SparkSession, sf_dir: str, columns: set[str],
-    order: str, supplier: str, quantity: str, unique: bool = False,
+    order: str, supplier: str, quantity: str, unique: bool = False, parts: int | None = None,
 ) -> DataFrame:
     """``rows`` with those of ``columns`` that come from other tables than the lines.
 
@@ -71,7 +95,7 @@ def _looked_up(
     All lookups are left joins, so a join that no column needs can be left out without changing a row.
     """
     found: dict[str, Column] = {}
-    by_order = _order_facts(spark, sf_dir, columns, unique)
+    by_order = _order_facts(spark, sf_dir, columns, unique, parts)
     if by_order is not None:
         rows = rows.join(by_order, F.col(order) == F.col("key"), "left")
         kind = F.col("kind")
@@ -142,12 +166,14 @@ def clean_view(
     narrow rows, and only those that stay look up, in the same tasks, what belongs to their order.
     An id names its order, so the first copy of a contract is found within its order.
     """
-    lines = table(spark, sf_dir, "lineitem").repartition("l_orderkey")
+    given = table(spark, sf_dir, "lineitem")
+    parts = _parts(spark, given)
+    lines = _dealt_out(given, parts, "l_orderkey")
     own, wanted = _own_columns(), set(columns)
     raw = lines.select(*[own[c].alias(c) for c in S.RAW_COLUMNS if c in wanted and c in own],
                        *_ties(), F.col("l_orderkey").alias("k_order"))
     first = cleaning.clean_contracts(raw, order=dedup_order(), within=["k_order"])
-    rows = _looked_up(first, spark, sf_dir, wanted, "k_order", "k_supp", S.DURATION, unique=True)
+    rows = _looked_up(first, spark, sf_dir, wanted, "k_order", "k_supp", S.DURATION, unique=True, parts=parts)
     looked_up = [c for c in S.TEXT_COLUMNS if c in wanted and c not in own]
     clean = cleaning.trim_categories(rows, looked_up).select(*[c for c in S.RAW_COLUMNS if c in wanted])
     return features.add_features(clean)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tenderlens import schema as S
 from tenderlens import sources
+from tenderlens.catalog import views
 from tenderlens.operators import charts, cleaning, describe, grouped, outliers, quality, quantiles
 
 from conftest import rows
@@ -113,3 +114,37 @@ def test_unbounded_group_keys_are_not_broadcast(stored, monkeypatch):
     monkeypatch.setattr(quantiles, "MAX_BROADCAST_GROUPS", 5)
     plan = charts.boxplot_by_group(stored, method="narrow")._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" not in plan.lower()
+
+
+def test_clean_view_is_dealt_out_by_the_number_of_lines(spark, tmp_path, monkeypatch):
+    n = 4_000
+    i = F.col("id")
+    spark.range(n).select(
+        (i % 900).alias("l_orderkey"), (i % 50).alias("l_partkey"), (i % 7).alias("l_suppkey"),
+        (i % 4).cast("int").alias("l_linenumber"), (i % 9 + 1).cast("double").alias("l_quantity"),
+        (100.0 + i).alias("l_extendedprice"), F.lit(0.05).alias("l_discount"), F.lit(0.02).alias("l_tax"),
+        F.lit("R").alias("l_returnflag"), F.lit("F").alias("l_linestatus"),
+        F.timestamp_seconds(1.6e9 + i).cast("timestamp_ntz").alias("l_shipdate"),
+    ).unionByName(spark.createDataFrame([(None, 1, None, 1, 9.0, 5.0, 0.0, 0.0, "R", "F", None)] * 2, (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double,"
+        "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"))
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(800).selectExpr("id as o_orderkey", "case when id % 3 = 0 then '2-HIGH' end as o_orderpriority").write.parquet(
+        f"{tmp_path}/orders.parquet")
+    spark.range(7).selectExpr("id as s_suppkey", "concat('s', id) as s_name", "cast(id % 2 as int) as s_nationkey").write.parquet(
+        f"{tmp_path}/supplier.parquet")
+    spark.range(2).selectExpr("cast(id as int) as n_nationkey", "concat(' n', id) as n_name", "1 as n_regionkey").write.parquet(
+        f"{tmp_path}/nation.parquet")
+    expected = sorted(rows(views.clean_view(spark, str(tmp_path))), key=str)
+    monkeypatch.setattr(views, "LINES_PER_TASK", 100, raising=False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        clean = views.clean_view(spark, str(tmp_path))
+        found = sorted(rows(clean), key=str)
+        plan = clean._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found == expected and len(found) == 601
+    # Lines, orders and competition are dealt out in 41 parts, each once, and so joined where they are.
+    dealt = re.findall(r"Exchange hashpartitioning\((\w+)#\w+, (\d+)\)", plan)
+    assert {parts for key, parts in dealt if "order" in key or key == "key"} == {"41"}
