@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenderlens.llm import language_id, line_dedup, packing, simhash
-from tenderlens.llm.common import stored, table
+from tenderlens.llm.common import small_batches, stored, table
 
 LEAST_SHARE = 0.5  # of a text's letters in its main language
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a main language: those without letters or without a majority go."""
+    small_batches(spark)
     model = language_id.fit(docs, F.lit(True))
     row = docs.select(F.struct("*").alias("row"))
     found = row.select("row", language_id.predict(F.col("row.text"), model).alias("found"))
@@ -24,6 +25,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that repeat an earlier one; those that lose every line go."""
+    small_batches(spark)
     done = line_dedup.dedup_lines(docs.select(F.struct("*").alias("row"), "doc_id", "text"))
     done = done.where("n_lines = 0 or n_removed < n_lines")
     columns = {"text": F.col("text"), "n_chars": F.length("text").cast("bigint")}
@@ -32,11 +34,13 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose fingerprints are linked."""
+    small_batches(spark)
     return simhash.one_of_each(docs, size=3, radius=3)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The places of all documents in sequences of 2048 tokens."""
+    small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

@@ -67,6 +67,17 @@ def arrow_function(run: Callable, kind: str) -> Callable[..., Column]:
     return F.arrow_udf(run, kind).asNondeterministic()
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow functions of this session get at most ``rows`` rows at once; a lower limit stays.
+
+    A batch is held several times over, by the executor and by its Python worker, and Spark's 10,000
+    texts are often all that a task reads.  Plans take the limit when they run, so it stays set.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 _Batch = TypeVar("_Batch")
 
 

@@ -63,7 +63,7 @@ class LanguageModel:
     counts: dict[str, list[int]]
     scripts: dict[str, list[bool]]
     penalty: float = 12.0
-    remember: int = 120_000
+    remember: int = 30_000
     _index: dict[str, int] = field(default_factory=dict, repr=False)
     _scores: np.ndarray | None = field(default=None, repr=False)
     _sizes: np.ndarray | None = field(default=None, repr=False)

@@ -68,10 +68,11 @@ def assign(pieces: DataFrame, capacity: int = 2048, tolerance: float = 0.02) ->
         return pieces.withColumns({"sequence_id": F.lit(0).cast("bigint"), "offset": F.lit(0).cast("bigint")})
     slots = packing_plan.plan(histogram, capacity, tolerance)
 
-    # One row per length, so at most ``capacity`` rows.
-    blocks = spark.createDataFrame(
-        [(length, -(-count // _BLOCK)) for length, count in histogram.items()], "p_length bigint, p_blocks int"
-    )
+    # One row per length, so at most ``capacity`` rows; from a list, executors would start more Python workers.
+    blocks = spark.createDataFrame(pa.table({
+        "p_length": pa.array(list(histogram), pa.int64()),
+        "p_blocks": pa.array([-(-count // _BLOCK) for count in histogram.values()], pa.int32()),
+    }))
     rows = F.struct(*pieces.columns).alias("row")
     spread = pieces.select(rows).join(F.broadcast(blocks), F.col("row.length") == F.col("p_length"))
     spread = spread.select("row", "p_length", block(F.col("p_blocks"), F.to_json("row")).alias("p_block"))
