@@ -26,7 +26,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that repeat an earlier one; those that lose every line go."""
     small_batches(spark)
-    done = line_dedup.dedup_lines(docs.select(F.struct("*").alias("row"), "doc_id", "text"))
+    others = F.struct(*[c for c in docs.columns if c != "text"])  # the text travels once
+    done = line_dedup.dedup_lines(docs.select(others.alias("row"), "doc_id", "text"))
     done = done.where("n_lines = 0 or n_removed < n_lines")
     columns = {"text": F.col("text"), "n_chars": F.length("text").cast("bigint")}
     return done.select(*[columns.get(c, F.col(f"row.{c}")).alias(c) for c in docs.columns])
