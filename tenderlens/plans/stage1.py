@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tenderlens import schema as S
 from tenderlens.functions import number_column
 from tenderlens.operators import cleaning, features, quality
-from tenderlens.sources import read_clean, read_raw_csv, write_clean
+from tenderlens.sources import read_clean, read_raw_csv, shuffles_removed, write_clean
 
 
 @dataclass
@@ -42,7 +42,8 @@ def run_stage1(
     The clean table is computed once, by the write; all reports read the stored one.
     """
     raw = read_raw_csv(spark, input_path, multiline)
-    write_clean(clean_and_enrich(raw), output_path, file_format)
+    with shuffles_removed(spark):
+        write_clean(clean_and_enrich(raw), output_path, file_format)
     clean = read_clean(spark, output_path, file_format, multiline)
     return Stage1Result(
         clean=clean,

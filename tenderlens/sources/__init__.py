@@ -8,9 +8,9 @@ from tenderlens.sources.files import (
     write_clean,
     write_raw_csv,
 )
-from tenderlens.sources.shared import kept, shared_folder
+from tenderlens.sources.shared import kept, shared_folder, shuffles_removed
 
 __all__ = [
     "extract_contracts", "preview", "read_clean", "read_json_records", "read_raw_csv",
-    "write_clean", "write_raw_csv", "kept", "shared_folder",
+    "write_clean", "write_raw_csv", "kept", "shared_folder", "shuffles_removed",
 ]

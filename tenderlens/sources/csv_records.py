@@ -4,7 +4,8 @@ Spark splits a text file at line breaks, but a task that starts in the middle of
 its first line is inside a quoted field.  Quotes tell: inside one if an odd number of them came before,
 as quotes inside quoted fields are doubled.  So quotes are counted per chunk, a run of at most 4,096 lines
 of a split, and the counts of a file are added up, one row per chunk.  Where a chunk begins outside of quoted fields
-and no line of it has an odd number of quotes, each line is a record, and stays in the task that reads it.
+and no line of it has an odd number of quotes, each line is a record, and stays in the task that reads it;
+the numbers of the files' first lines tell which of them are headers.
 Only the lines of the other chunks are shuffled, by chunk, and put in order there; the first and the last record
 of such a chunk can reach into another one, and these few are put together in a second step.
 """
@@ -26,7 +27,7 @@ def _before(chunks: DataFrame, column: str) -> DataFrame:
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines with their chunk, their order in it and their number of quotes."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
+    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"')))
     return spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("line"), "value", quotes.cast("bigint").alias("quotes"),
@@ -34,13 +35,17 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _chunks(lines: DataFrame) -> DataFrame:
-    """A row per chunk: quotes before it, whether it begins its file, and whether each line is a record by itself."""
+    """A row per chunk: its first line, quotes before it, whether it begins its file, whether each line is a record by itself.
+
+    The filter is always true.  With it every use needs all counts, so the planner counts once and not for each use.
+    """
     counts = lines.groupBy(*_PLACE).agg(
-        F.sum("quotes").alias("quotes"), F.max(F.col("quotes") % 2).alias("odd"))
-    begins = F.row_number().over(Window.partitionBy("file").orderBy("start", "chunk")) == 1
+        F.sum("quotes").alias("quotes"), F.max(F.col("quotes") % 2).alias("odd"), F.min("line").alias("head"))
+    counts = counts.where("quotes >= 0 and odd >= 0 and head >= 0")
+    begins = F.col("head") == F.first("head").over(Window.partitionBy("file").orderBy("start", "chunk"))
     return _before(counts, "quotes").select(
-        *_PLACE, "quotes_before", begins.alias("begins_file"),
-        ((F.col("odd") == 0) & (F.col("quotes_before") % 2 == 0) & ~begins).alias("plain"))
+        *_PLACE, "head", "quotes_before", begins.alias("begins_file"),
+        ((F.col("odd") == 0) & (F.col("quotes_before") % 2 == 0)).alias("plain"))
 
 
 def csv_records(spark: SparkSession, path: str) -> DataFrame:
@@ -55,14 +60,17 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     # The numbers of the chunks that need more than their lines, for all tasks: eight bytes for each 4,096 lines at most.
     # A number is one of the whole table; at the edge of two splits it may stand for two chunks.
     broken = F.broadcast(chunks.where(~F.col("plain")).select("chunk").distinct())
-    plain = lines.join(broken, "chunk", "left_anti").select(F.lit(False).alias("first"), F.col("value").alias("text"))
+    # The first lines of the files, one number for each file.
+    heads = F.broadcast(chunks.where("begins_file").select(F.col("head").alias("line"), F.lit(True).alias("first")))
+    plain = lines.join(broken, "chunk", "left_anti").join(heads, "line", "left").select(
+        F.coalesce("first", F.lit(False)).alias("first"), F.col("value").alias("text"))
 
     rest = lines.join(broken, "chunk", "left_semi")
     in_order = Window.partitionBy(*_PLACE).orderBy("line")
     earlier = F.sum("quotes").over(in_order) - F.col("quotes") + F.col("quotes_before")
     begins = (earlier % 2 == 0).cast("bigint")
     numbered = (
-        rest.join(chunks.drop("plain"), _PLACE)
+        rest.join(chunks.drop("plain", "head"), _PLACE)
         .select(*_PLACE, "line", "value", "begins_file", begins.alias("begins"))
         .withColumn("record", F.sum("begins").over(in_order))
     )
@@ -90,7 +98,7 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     found = plain.unionByName(whole).unionByName(joined)
     bare = F.when(F.col("text").endswith("\r"), F.regexp_replace("text", "\r$", "")).otherwise(F.col("text"))
     found = found.withColumn("text", bare)
-    return found.where(F.col("first") | (F.length("text") > 0))
+    return found.where(F.col("first") | (F.octet_length("text") > 0))
 
 
 def read_csv_records(spark: SparkSession, path: str, options: dict) -> DataFrame:

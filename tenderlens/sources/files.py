@@ -71,9 +71,9 @@ def read_raw_csv(
     return fold_null_tokens(rows)
 
 
-def write_raw_csv(df: DataFrame, path: str) -> None:
-    """CSV part files with a header, replacing earlier ones."""
-    df.write.mode("overwrite").options(**_CSV).csv(path)
+def write_raw_csv(df: DataFrame, path: str, **options: str | int) -> None:
+    """CSV part files with a header, replacing earlier ones; ``options`` are further ones of the writer."""
+    df.write.mode("overwrite").options(**_CSV, **options).csv(path)
 
 
 def write_clean(df: DataFrame, path: str, file_format: str = "parquet") -> None:

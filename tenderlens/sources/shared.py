@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +33,24 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{_base(spark).rstrip('/')}/{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Writes in this block remove their shuffle files when they end.
+
+    Otherwise these stay on disk until the driver collects its garbage, which may be after the next write.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def kept(df: DataFrame) -> DataFrame:
     """The rows as a table in a new shared folder, so that its users share one computation."""
     path = shared_folder(df.sparkSession)
